@@ -73,7 +73,7 @@ def scan_single_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def empty_input_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clustering of a year without readings."""
     means = year_means(spark, sf_dir, year=1900)
-    return clustering.assign_clusters(feature_rows(means), "entity", "m1_mean", k=2)
+    return clustering.cluster_entities(feature_rows(means), "entity", "m1_mean", k=2)
 
 
 def rows_per_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,28 +204,24 @@ def silhouette_given_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wcss_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curve = clustering.k_sweep(feature_rows(year_means(spark, sf_dir)), with_silhouette=False)
-    return curve.select("k", F.col("wcss").alias("score"))
+    sweep = clustering.k_sweep(feature_rows(year_means(spark, sf_dir)), with_silhouette=False)
+    return sweep.curve.select("k", F.col("wcss").alias("score"))
 
 
 def silhouette_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curve = clustering.k_sweep(feature_rows(year_means(spark, sf_dir)))
-    return curve.select("k", F.col("silhouette").alias("score"))
+    sweep = clustering.k_sweep(feature_rows(year_means(spark, sf_dir)))
+    return sweep.curve.select("k", F.col("silhouette").alias("score"))
 
 
-def cluster_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sweep, choice by elbow, final clustering."""
-    features = feature_rows(year_means(spark, sf_dir))
-    curve = clustering.k_sweep(features, with_silhouette=False)
-    k = clustering.elbow_select(curve).first().k
-    return clustering.assign_clusters(features, "entity", "m1_mean", k)
+def cluster_assignments(method: str) -> Query:
+    """Sweep, choice of k, final clustering."""
 
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        features = feature_rows(year_means(spark, sf_dir))
+        clusters, _ = clustering.cluster_by_choice(features, "entity", "m1_mean", method)
+        return clusters
 
-def cluster_assignments_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sweep, choice by silhouette, final clustering."""
-    features = feature_rows(year_means(spark, sf_dir))
-    k = clustering.silhouette_select(clustering.k_sweep(features)).first().k
-    return clustering.assign_clusters(features, "entity", "m1_mean", k)
+    return query
 
 
 def monthly_curve(spark: SparkSession, sf_dir: str, metric: str = "m1_mean") -> DataFrame:
@@ -329,8 +325,8 @@ REGISTERED: dict[str, Query] = {
     "silhouette_sweep": silhouette_sweep,
     "elbow_select": elbow_select,
     "silhouette_select": silhouette_select,
-    "cluster_assignments": cluster_assignments,
-    "cluster_assignments_silhouette": cluster_assignments_silhouette,
+    "cluster_assignments": cluster_assignments("elbow"),
+    "cluster_assignments_silhouette": cluster_assignments("silhouette"),
     "kv_annual_stats": kv_annual_stats,
     "kv_monthly_ranks": kv_monthly_ranks,
     "kv_monthly_means": kv_monthly_means,

@@ -1,0 +1,183 @@
+from __future__ import annotations
+
+import pytest
+
+from tests.brute import percentile
+from wattloom.operators import profiles, ranking, summary
+from wattloom.plans import sql_text
+
+METRICS = {"m1": "m1", "m2": "m2"}
+MEANS = {"m1": "m1_mean", "m2": "m2_mean"}
+READINGS = "entity string, year int, month int, hour int, m1 double, m2 double"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def readings(spark):
+    return spark.createDataFrame(
+        [
+            ("a", 2021, 1, 0, 1.0, None),
+            ("a", 2021, 1, 1, 3.0, None),
+            ("a", 2021, 2, 0, None, None),
+            ("a", 2022, 1, 0, 5.0, 10.0),
+            ("b", 2021, 1, 0, -2.0, 4.0),
+            ("b", 2021, 1, 0, None, 8.0),
+        ],
+        READINGS,
+    )
+
+
+def test_annual_stats_skip_nulls(readings):
+    rows = {(r.entity, r.date): r for r in profiles.annual_stats(readings, "entity", METRICS).collect()}
+    a = rows["a", 2021]
+    assert (a.m1_mean, a.m1_min, a.m1_max) == (2.0, 1.0, 3.0)
+    assert (a.m2_mean, a.m2_min, a.m2_max) == (None, None, None)
+    b = rows["b", 2021]
+    assert (b.m1_mean, b.m2_mean, b.m2_min, b.m2_max) == (-2.0, 6.0, 4.0, 8.0)
+    assert len(rows) == 3
+
+
+def test_annual_stats_are_in_order_and_take_a_range_of_years(readings):
+    stats = profiles.annual_stats(readings, "entity", METRICS)
+    assert [(r.entity, r.date) for r in stats.collect()] == [("a", 2021), ("a", 2022), ("b", 2021)]
+    later = profiles.annual_stats(readings, "entity", METRICS, years=(2022, 2024)).collect()
+    assert [(r.entity, r.date) for r in later] == [("a", 2022)]
+
+
+def test_monthly_means_have_padded_labels(readings):
+    means = profiles.monthly_means(readings, METRICS)
+    assert means.columns == ["date", "m1_mean", "m2_mean", "year", "month"]
+    rows = {r.date: r for r in means.collect()}
+    assert set(rows) == {"2021_01", "2021_02", "2022_01"}
+    assert rows["2021_02"].m1_mean is None
+
+
+def test_entity_year_mean_leaves_out_entities_without_values(readings):
+    means = profiles.entity_year_mean(readings, "entity", "m2", 2021, "mean").collect()
+    assert [(r.entity, r.mean) for r in means] == [("b", 6.0)]
+
+
+def test_entity_year_mean_by_time_equals_by_year(spark):
+    df = spark.sql(
+        "SELECT 'x' AS entity, t AS time, year(t) AS year, v AS m1 FROM VALUES"
+        " (timestamp_ntz'2023-12-31 23:59:59.999', 1D), (timestamp_ntz'2024-01-01', 2D),"
+        " (timestamp_ntz'2024-12-31 23:59:59.999', 4D), (timestamp_ntz'2025-01-01', 8D) AS v(t, v)"
+    )
+    for kind in ("timestamp_ntz", "timestamp"):
+        typed = df.withColumn("time", df.time.cast(kind))
+        by_time = profiles.entity_year_mean(typed, "entity", "m1", 2024, "m", time="time")
+        by_year = profiles.entity_year_mean(typed, "entity", "m1", 2024, "m")
+        assert by_time.collect() == by_year.collect()
+        assert by_time.first().m == 3.0
+
+
+@pytest.mark.parametrize("n", [1, 2, 24])
+def test_five_numbers_interpolate(spark, n):
+    squares = [float(i * i) for i in range(n)]
+    profile = spark.createDataFrame(
+        [("a", i, v, -v) for i, v in enumerate(squares)],
+        "entity string, hour int, m1_mean double, m2_mean double",
+    )
+    rows = {r.data: r for r in summary.five_numbers(profile, "entity", MEANS).collect()}
+    for tag, values in (("m1", squares), ("m2", [-v for v in squares])):
+        expected = [min(values), *(percentile(values, p) for p in (0.25, 0.5, 0.75)), max(values)]
+        found = [rows[tag][c] for c in ("min", "25-perc", "50-perc", "75-perc", "max")]
+        assert found == pytest.approx(expected, abs=1e-9)
+    if n == 24:
+        assert (rows["m1"]["25-perc"], rows["m1"]["50-perc"]) == (33.25, 132.5)
+
+
+def test_approx_quartiles_are_members_of_the_data(spark):
+    profile = spark.createDataFrame(
+        [("a", i, float(i * i), None) for i in range(24)],
+        "entity string, hour int, m1_mean double, m2_mean double",
+    )
+    rows = {r.data: r for r in summary.approx_quartiles(profile, "entity", MEANS).collect()}
+    assert (rows["m1"].p25, rows["m1"].p50) == (25.0, 121.0)
+    assert (rows["m2"].p25, rows["m2"].p50, rows["m2"].p75) == (None, None, None)
+
+
+def test_five_numbers_of_no_values_are_null(spark):
+    profile = spark.createDataFrame(
+        [("a", 0, None, 1.0)], "entity string, hour int, m1_mean double, m2_mean double"
+    )
+    rows = {r.data: r for r in summary.five_numbers(profile, "entity", MEANS).collect()}
+    assert tuple(rows["m1"])[2:] == (None,) * 5
+    assert tuple(rows["m2"])[2:] == (1.0,) * 5
+
+
+def months(spark, values):
+    return spark.createDataFrame(
+        [(f"2021_{i + 1:02d}", m1, m2) for i, (m1, m2) in enumerate(values)],
+        "date string, m1_mean double, m2_mean double",
+    )
+
+
+def ranks(df):
+    found = {}
+    for r in ranking.two_way_ranking(df, MEANS, 5, "date").orderBy("rank_num").collect():
+        found.setdefault(r.rank_type, []).append((r.rank_num, r.date))
+    return found
+
+
+def test_ties_go_to_the_earlier_month(spark):
+    df = months(spark, [(7.0, float(i)) for i in range(6)])
+    found = ranks(df)
+    first_five = [(i, f"2021_{i:02d}") for i in range(1, 6)]
+    assert found["m1_desc"] == found["m1_asc"] == first_five
+    assert found["m2_desc"][0] == (1, "2021_06")
+    top = ranking.top_n(df, "m1_mean", 5, True, "date").collect()
+    assert sorted(r.date for r in top) == [d for _, d in first_five]
+
+
+def test_fewer_months_than_ranks_keep_their_rank_type(spark):
+    found = ranks(months(spark, [(1.0, 3.0), (2.0, 2.0), (3.0, 1.0)]))
+    assert {k: len(v) for k, v in found.items()} == dict.fromkeys(
+        ("m1_desc", "m1_asc", "m2_desc", "m2_asc"), 3
+    )
+    assert found["m1_asc"] == found["m2_desc"] == [(1, "2021_01"), (2, "2021_02"), (3, "2021_03")]
+
+
+def test_months_without_values_do_not_rank(spark):
+    df = months(spark, [(None, 1.0), (2.0, None), (1.0, 2.0)])
+    found = ranks(df)
+    assert found["m1_asc"] == [(1, "2021_03"), (2, "2021_02")]
+    assert found["m2_desc"] == [(1, "2021_03"), (2, "2021_01")]
+    assert [r.date for r in ranking.top_n(df, "m1_mean", 5, False, "date").collect()] == [
+        "2021_03", "2021_02",
+    ]
+
+
+def test_sql_twins_agree(readings):
+    def rows(df):
+        return sorted(map(repr, (r.asDict() for r in df.select(sorted(df.columns)).collect())))
+
+    def quoted(df):
+        return df.toDF(*[c.replace("-", "_") for c in df.columns])
+
+    means = profiles.monthly_means(readings, METRICS).select("date", "m1_mean", "m2_mean")
+    profile = profiles.hourly_profile(readings, "entity", METRICS)
+    assert rows(profiles.annual_stats(readings, "entity", METRICS)) == rows(
+        sql_text.annual_stats_sql(readings)
+    )
+    assert rows(ranking.two_way_ranking(means, MEANS, 5, "date")) == rows(
+        sql_text.monthly_top_sql(readings)
+    )
+    assert rows(quoted(summary.five_numbers(profile, "entity", MEANS))) == rows(
+        quoted(sql_text.hourly_five_numbers_sql(readings))
+    )
+
+
+def test_rankings_limit_before_the_shuffle(spark, readings):
+    means = profiles.monthly_means(readings, METRICS).select("date", "m1_mean", "m2_mean")
+    text = plan(ranking.two_way_ranking(means, MEANS, 5, "date"))
+    assert text.count("WindowGroupLimit") == 2
+    assert "TakeOrderedAndProject" in plan(ranking.top_n(means, "m1_mean", 5, True, "date"))
+
+
+def test_both_metrics_are_summarised_in_one_pass(readings):
+    profile = profiles.hourly_profile(readings, "entity", METRICS)
+    assert plan(summary.five_numbers(profile, "entity", MEANS)).count("Exchange") == 2

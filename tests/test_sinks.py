@@ -1,0 +1,185 @@
+from __future__ import annotations
+
+import glob
+import json
+import os
+import sqlite3
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from wattloom.operators.runs import run_log_rows, run_time_stats
+from wattloom.plans import families
+from wattloom.sinks import files
+from wattloom.sinks.keyed_json import publish, to_key_value
+from wattloom.sources import scans
+
+READINGS = "datetime timestamp, entity string, m1 double"
+
+
+@pytest.fixture
+def folder(tmp_path):
+    return str(tmp_path / uuid.uuid4().hex)
+
+
+def readings(spark, rows):
+    return spark.range(rows).select(
+        F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id") * 3600).alias("datetime"),
+        F.when(F.col("id") % 10 < 8, "South Korea").otherwise("Great Britain").alias("entity"),
+        F.rand(3).alias("m1"),
+    )
+
+
+def test_readings_round_trip_with_spaces_in_names(spark, folder):
+    df = readings(spark, 1000)
+    files.write_readings(df, folder, "entity")
+    back = scans.read_readings(spark, folder, READINGS)
+    assert sorted(back.select(df.columns).collect()) == sorted(df.collect())
+    assert os.path.isdir(f"{folder}/entity=South Korea")
+
+
+def test_entity_filters_prune_partitions(spark, folder):
+    files.write_readings(readings(spark, 100), folder, "entity")
+    back = scans.read_readings(spark, folder, READINGS)
+    one = scans.single_entity(back, "entity", "Great Britain")
+    some = scans.entity_subset(back, "entity", ["Great Britain", "Italy"])
+    assert one.count() == some.count() == 20
+    for df in (one, some):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
+def test_names_that_look_like_numbers_stay_text(spark, folder):
+    df = readings(spark, 10).withColumn("entity", F.lit("007"))
+    files.write_readings(df, folder, "entity")
+    back = scans.read_readings(spark, folder, READINGS)
+    assert {r.entity for r in back.collect()} == {"007"}
+
+
+def test_hot_entity_is_written_by_several_tasks_in_time_order(spark, folder):
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "100k")
+    try:
+        df = readings(spark, 200_000).repartition(8)
+        files.write_readings(df, folder, "entity")
+    finally:
+        spark.conf.set(setting, before)
+    hot = glob.glob(f"{folder}/entity=South Korea/*.parquet")
+    assert len(hot) > 3
+    for path in hot[:3]:
+        times = [r.datetime for r in spark.read.parquet(path).collect()]
+        assert times == sorted(times)
+    assert scans.read_readings(spark, folder, READINGS).count() == 200_000
+
+
+def test_small_result_is_one_ordered_file(spark, folder):
+    df = spark.range(50).select((F.lit(49) - F.col("id")).cast("int").alias("k")).repartition(7)
+    files.write_result(df, folder, order_by=("k",))
+    assert len(glob.glob(f"{folder}/*.csv")) == 1
+    with open(glob.glob(f"{folder}/*.csv")[0]) as lines:
+        assert lines.read().split() == ["k", *map(str, range(50))]
+
+
+def test_result_columns_keep_their_types(spark, folder):
+    df = spark.createDataFrame(
+        [("IT", 1e-9, 0.1 + 0.2), ("N,O", None, -0.5)], "c string, `25-perc` double, max double"
+    )
+    files.write_result(df, folder)
+    assert sorted(scans.read_result(spark, folder, df.schema).collect()) == sorted(df.collect())
+
+
+RUNS = "query_name string, query_type string, num_executors int, seconds double"
+
+
+def test_run_statistics_and_log(spark, folder):
+    runs = spark.createDataFrame(
+        [("Q1", "sql", 1, 1.0), ("Q1", "sql", 1, 2.00006), ("Q1", "sql", 2, 5.0)], RUNS
+    )
+    stats = {r.num_executors: r for r in run_time_stats(runs).collect()}
+    assert (stats[1].runs, stats[1].mean_seconds) == (2, pytest.approx(1.50003))
+    assert stats[1].stddev_seconds == pytest.approx(0.70714921)
+    assert (stats[2].runs, stats[2].stddev_seconds) == (1, None)
+
+    files.write_run_log(run_log_rows(run_time_stats(runs)), folder)
+    again = spark.createDataFrame([("Q1", "sql", 2, 7.0), ("Q2", "rdd", 4, 3.0)], RUNS)
+    files.write_run_log(run_log_rows(run_time_stats(again)), folder)
+    log = scans.read_run_log(spark, folder)
+    assert log.columns == [
+        "query_name", "query_type", "avg_execution_time_seconds", "num_executors",
+    ]
+    assert sorted(map(tuple, log.collect())) == [
+        ("Q1", "sql", 1.5, 1), ("Q1", "sql", 7.0, 2), ("Q2", "rdd", 3.0, 4),
+    ]
+
+
+def pairs_of(df):
+    rows = df.collect()
+    assert len({r.key for r in rows}) == len(rows)
+    return {r.key: json.loads(r.value) for r in rows}
+
+
+def test_values_keep_nulls_and_column_order(spark):
+    df = spark.createDataFrame([(2021, "IT", None, 0.5)], "date int, c string, x double, y double")
+    row = families.kv_annual_stats(df, "c").first()
+    assert row.key == "q1:2021:IT"
+    assert row.value == '{"date":2021,"c":"IT","x":null,"y":0.5}'
+
+
+def test_missing_key_parts_stay_apart(spark):
+    df = spark.createDataFrame([(1, None), (None, "1")], "a int, b string")
+    pairs = to_key_value(df, "p", [F.col("a"), F.col("b")])
+    assert {r.key for r in pairs.collect()} == {"p:1:None", "p:None:1"}
+
+
+def test_key_families(spark):
+    ranks = spark.createDataFrame(
+        [("ci_desc", 1, "2022_12", 360.5, 35.8)],
+        "rank_type string, rank_num int, date string, carbon_intensity double, cfe double",
+    )
+    assert pairs_of(families.kv_monthly_ranks(ranks, "italy")) == {
+        "q2:italy:rank:ci_desc:1": {"date": "2022_12", "carbon_intensity": 360.5, "cfe": 35.8}
+    }
+    assert list(pairs_of(families.kv_monthly_means(ranks.select("date", "cfe"), "italy"))) == [
+        "q2:italy:monthly_avg:2022_12"
+    ]
+    stats = spark.createDataFrame([("IT", "cfe", 1.0, 2.0)], "c string, data string, min double, `25-perc` double")
+    assert pairs_of(families.kv_hourly_stats(stats, "c")) == {
+        "q3:stats:IT:cfe": {"min": 1.0, "25-perc": 2.0}
+    }
+    hours = spark.createDataFrame([("SE", 7, 4.5), ("SE", 17, 4.0)], "c string, hour int, avg double")
+    assert pairs_of(families.kv_hourly_profile(hours, "c")) == {
+        "q3:hourly_avg:SE:07": {"c": "SE", "hour": 7, "avg": 4.5, "time": "2021-01-01T07:00:00Z"},
+        "q3:hourly_avg:SE:17": {"c": "SE", "hour": 17, "avg": 4.0, "time": "2021-01-01T17:00:00Z"},
+    }
+    clusters = spark.createDataFrame([("IT", 207.3, 1)], "c string, avg double, cluster int")
+    assert list(pairs_of(families.kv_clusters(clusters, "c", "elbow"))) == ["clustering:elbow:IT"]
+    curve = spark.createDataFrame([(2, 9.5)], "k int, wcss double")
+    assert pairs_of(families.kv_curve(curve, "elbow")) == {"elbow:2": {"k": 2, "wcss": 9.5}}
+    log = spark.createDataFrame([("Q1", "sql", 1.5, 3)], "query_name string, query_type string, t double, num_executors int")
+    assert list(pairs_of(families.kv_run_times(log))) == ["performance:Q1:sql:3"]
+
+
+class FileStore:
+    """A store in one file that the tasks share; one transaction per batch."""
+
+    def __init__(self, path):
+        self.connection = sqlite3.connect(path, timeout=60)
+        self.connection.execute("CREATE TABLE IF NOT EXISTS kv (key TEXT PRIMARY KEY, value TEXT)")
+
+    def set_many(self, pairs):
+        with self.connection:
+            self.connection.executemany("INSERT OR REPLACE INTO kv VALUES (?, ?)", pairs)
+
+    def close(self):
+        self.connection.close()
+
+
+def test_publish_sends_every_pair_from_the_tasks(spark, tmp_path):
+    path = str(tmp_path / "store.db")
+    df = spark.range(2500).select(F.col("id").cast("string").alias("key"), F.lit("{}").alias("value"))
+    for _ in range(2):
+        publish(df.repartition(4), lambda: FileStore(path), batch_size=300)
+    found = sqlite3.connect(path).execute("SELECT key FROM kv").fetchall()
+    assert sorted(int(k) for (k,) in found) == list(range(2500))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
+from typing import NamedTuple
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -75,24 +76,33 @@ def silhouette(clustered: DataFrame) -> float:
     return evaluator.evaluate(clustered)
 
 
+class Sweep(NamedTuple):
+    """The fitted model per k, and one row (k, wcss, silhouette) per k; NULL where a step failed."""
+
+    models: dict[int, KMeansModel]
+    curve: DataFrame
+
+
 def k_sweep(
     features: DataFrame,
     k_max: int = 15,
     seeds: Sequence[int] = (1,),
     with_silhouette: bool = True,
-    parallelism: int = 4,
-) -> DataFrame:
-    """One row (k, wcss, silhouette) per k in ``cluster_range``; NULL where a step failed.
+    parallelism: int | None = None,
+) -> Sweep:
+    """Fit and score every k in ``cluster_range``.
 
-    Fits are independent, so several run at once, as in Spark's own tuning. They share one
-    persisted copy of the feature table.
+    A fit is a chain of short jobs and the fits are independent, so they run at the same time, as
+    in Spark's own tuning: all of them, or ``parallelism`` at once. They share one persisted copy
+    of the feature table.
     """
     spark = features.sparkSession
+    models: dict[int, KMeansModel] = {}
 
     def score(k: int) -> tuple[int, float | None, float | None]:
         wcss = quality = None
         try:
-            model = fit_kmeans(features, k, seeds)
+            model = models[k] = fit_kmeans(features, k, seeds)
             wcss = float(model.summary.trainingCost)
             # Equal points can leave one cluster, for which the silhouette is not defined.
             if with_silhouette and len(model.clusterCenters()) > 1:
@@ -105,12 +115,12 @@ def k_sweep(
     try:
         ks = list(cluster_range(features, k_max))
         if not ks:
-            return spark.createDataFrame([], CURVE)
-        with ThreadPool(min(parallelism, len(ks))) as pool:
+            return Sweep(models, spark.createDataFrame([], CURVE))
+        with ThreadPool(min(parallelism or len(ks), len(ks))) as pool:
             curve = pool.map(inheritable_thread_target(spark)(score), ks)
     finally:
         features.unpersist()
-    return spark.createDataFrame(curve, CURVE)
+    return Sweep(models, spark.createDataFrame(curve, CURVE))
 
 
 def elbow_select(curve: DataFrame, k: str = "k", score: str = "wcss") -> DataFrame:
@@ -143,16 +153,15 @@ def silhouette_select(curve: DataFrame, k: str = "k", score: str = "silhouette")
     )
 
 
+def no_clusters(features: DataFrame, entity: str, value: str) -> DataFrame:
+    """The result of clustering fewer than two rows: none, under the usual schema."""
+    return features.select(entity, value, F.lit(0).alias("cluster")).limit(0)
+
+
 def assign_clusters(
-    features: DataFrame, entity: str, value: str, k: int, seeds: Sequence[int] = (1,)
+    features: DataFrame, entity: str, value: str, model: KMeansModel
 ) -> DataFrame:
-    """Entity, value and cluster, by cluster and value; clusters are numbered by rising centre.
-
-    Fewer than two rows give an empty result of the same schema.
-    """
-    if not len(cluster_range(features, 2)):
-        return features.select(entity, value, F.lit(0).alias("cluster")).limit(0)
-    model = fit_kmeans(features, k, seeds)
+    """Entity, value and cluster, by cluster and value; clusters are numbered by rising centre."""
     centers = [tuple(center) for center in model.clusterCenters()]
     rank = {label: i for i, label in enumerate(sorted(range(len(centers)), key=centers.__getitem__))}
     ranks = F.array(*[F.lit(rank[label]) for label in range(len(centers))])
@@ -163,6 +172,33 @@ def assign_clusters(
     )
 
 
+def cluster_entities(
+    features: DataFrame, entity: str, value: str, k: int, seeds: Sequence[int] = (1,)
+) -> DataFrame:
+    """Fit one k and assign; fewer than two rows give an empty result of the same schema."""
+    if not cluster_range(features, 2):
+        return no_clusters(features, entity, value)
+    return assign_clusters(features, entity, value, fit_kmeans(features, k, seeds))
+
+
+def cluster_by_choice(
+    features: DataFrame, entity: str, value: str, method: str, seeds: Sequence[int] = (1,)
+) -> tuple[DataFrame, DataFrame]:
+    """Clusters and curve, with k chosen by ``elbow`` or ``silhouette``.
+
+    The final clustering is the model that the sweep fitted for the chosen k: the same data and
+    seeds would give it again.
+    """
+    with_silhouette = method == "silhouette"
+    models, curve = k_sweep(features, seeds=seeds, with_silhouette=with_silhouette)
+    select = silhouette_select if with_silhouette else elbow_select
+    curve = curve.select("k", "silhouette" if with_silhouette else "wcss")
+    k = select(curve).first().k
+    if k in models:
+        return assign_clusters(features, entity, value, models[k]), curve
+    return cluster_entities(features, entity, value, k, seeds), curve
+
+
 def assign_to_centers(df: DataFrame, value: str, centers: Sequence[float]) -> DataFrame:
     """Add ``cluster``: the index of the nearest of the given centres."""
     return df.withColumn("cluster", nearest_center(named(value), centers))
