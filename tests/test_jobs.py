@@ -10,6 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattloom import jobs
+from wattloom.operators.runs import measured_runs, run_log_rows, run_time_stats
+from wattloom.sinks.files import write_run_log
 from wattloom.sources import electricity as names
 
 CODES = {"Italy": "IT", "Sweden": "SE", "Great Britain": "GB", "South Korea": "KR"}
@@ -150,6 +152,20 @@ def test_published_keys(spark, roots, done):
         assert set(pairs(spark, roots, f"curve_{method}")) == {f"{method}:{k}" for k in range(2, 16)}
 
 
+def test_command_line_prints_and_publishes(spark, roots, done, tmp_path, capfd):
+    where = ["--readings", roots["readings"], "--results", str(tmp_path / "results")]
+    jobs.main(["annual", *where, "--show", "10"])
+    assert "carbon_mean" in capfd.readouterr().out
+    write_run_log(run_log_rows(run_time_stats(measured_runs(spark, "Q1", "sql", 2, [1, 2]))), str(tmp_path / "runs"))
+    publishing = ["publish", "--results", roots["results"], "--pairs", str(tmp_path / "pairs")]
+    jobs.main([*publishing, "--runs", str(tmp_path / "runs")])
+    found = pairs(spark, {"pairs": str(tmp_path / "pairs")}, "runs")
+    assert list(found) == ["performance:Q1:sql:2"]
+    assert found["performance:Q1:sql:2"]["avg_execution_time_seconds"] == 1.5
+    with pytest.raises(SystemExit, match="runs"):
+        jobs.main([*publishing, "--runs", str(tmp_path / "missing")])
+
+
 def test_one_failure_does_not_stop_the_others(spark, roots, done, tmp_path):
     sent = []
 

@@ -9,7 +9,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from wattloom.operators.runs import run_log_rows, run_time_stats
+from wattloom.operators.runs import measured_runs, run_log_rows, run_time_stats
 from wattloom.plans import families
 from wattloom.sinks import files
 from wattloom.sinks.keyed_json import publish, to_key_value
@@ -103,7 +103,9 @@ def test_run_statistics_and_log(spark, folder):
     assert (stats[2].runs, stats[2].stddev_seconds) == (1, None)
 
     files.write_run_log(run_log_rows(run_time_stats(runs)), folder)
-    again = spark.createDataFrame([("Q1", "sql", 2, 7.0), ("Q2", "rdd", 4, 3.0)], RUNS)
+    again = measured_runs(spark, "Q1", "sql", 2, [6.0, 8.0]).union(
+        measured_runs(spark, "Q2", "rdd", 4, [3])
+    )
     files.write_run_log(run_log_rows(run_time_stats(again)), folder)
     log = scans.read_run_log(spark, folder)
     assert log.columns == [

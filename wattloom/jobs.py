@@ -5,7 +5,9 @@ Run with ``spark-submit`` or ``python -m wattloom.jobs``:
     prep     --raw ROOT --readings ROOT
     annual   --readings ROOT --results ROOT        (likewise monthly, hourly)
     clusters --readings ROOT --results ROOT --method elbow|silhouette
-    publish  --results ROOT --pairs ROOT
+    publish  --results ROOT --pairs ROOT [--runs ROOT]
+
+A question job prints what it wrote with ``--show ROWS``.
 
 Readings, results and pairs have a root each, so none is overwritten with another. A result that
 feeds a second one is read back from where it was written, so the readings are scanned once.
@@ -21,9 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wattloom.plans import families, questions
 from wattloom.session import build_session
-from wattloom.sinks.files import write_readings, write_result
+from wattloom.sinks.files import show, write_readings, write_result
 from wattloom.sources import electricity as names
-from wattloom.sources.scans import read_raw, read_readings, read_result
+from wattloom.sources.scans import read_raw, read_readings, read_result, read_run_log
 
 log = logging.getLogger(__name__)
 
@@ -68,8 +70,10 @@ def clusters(spark: SparkSession, readings: str, results: str, method: str) -> N
     write_result(curve, f"{results}/curve_{method}", order_by=("k",))
 
 
-def result_pairs(spark: SparkSession, results: str) -> dict[str, Callable[[], DataFrame]]:
-    """The published pairs of each result folder."""
+def result_pairs(
+    spark: SparkSession, results: str, runs: str | None = None
+) -> dict[str, Callable[[], DataFrame]]:
+    """The published pairs of each result folder, and of the run log if its root is given."""
 
     def read(name: str, schema: str) -> DataFrame:
         return read_result(spark, f"{results}/{name}", schema)
@@ -99,16 +103,23 @@ def result_pairs(spark: SparkSession, results: str) -> dict[str, Callable[[], Da
         pairs[f"curve_{method}"] = lambda method=method: families.kv_curve(
             read(f"curve_{method}", questions.CURVE_SCHEMAS[method]), method
         )
+    if runs:
+        pairs["runs"] = lambda: families.kv_run_times(read_run_log(spark, runs))
     return pairs
 
 
-def publish(spark: SparkSession, results: str, send: Callable[[str, DataFrame], None]) -> list[str]:
+def publish(
+    spark: SparkSession,
+    results: str,
+    send: Callable[[str, DataFrame], None],
+    runs: str | None = None,
+) -> list[str]:
     """Send the pairs of every result; one that fails is logged and does not stop the others.
 
     Returns the names of those that failed.
     """
     failed = []
-    for name, pairs in result_pairs(spark, results).items():
+    for name, pairs in result_pairs(spark, results, runs).items():
         try:
             send(name, pairs())
         except Exception:
@@ -126,6 +137,25 @@ def write_pairs(root: str) -> Callable[[str, DataFrame], None]:
     return send
 
 
+def written(job: str, method: str) -> dict[str, str]:
+    """Folder and schema of each result of a question job."""
+    return {
+        "annual": {"annual": questions.ANNUAL_SCHEMA},
+        "monthly": {
+            "monthly_means": questions.MONTHLY_SCHEMA,
+            "monthly_ranks": questions.RANKS_SCHEMA,
+        },
+        "hourly": {
+            "hourly_profile": questions.HOURLY_SCHEMA,
+            "hourly_stats": questions.STATS_SCHEMA,
+        },
+        "clusters": {
+            f"clusters_{method}": questions.CLUSTERS_SCHEMA,
+            f"curve_{method}": questions.CURVE_SCHEMAS[method],
+        },
+    }[job]
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="wattloom.jobs")
     parser.add_argument(
@@ -135,20 +165,26 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--readings")
     parser.add_argument("--results")
     parser.add_argument("--pairs")
+    parser.add_argument("--runs")
     parser.add_argument("--method", choices=METHODS, default="elbow")
+    parser.add_argument("--show", type=int, default=0, metavar="ROWS")
     options = parser.parse_args(arguments)
     spark = build_session(f"wattloom-{options.job}")
     if options.job == "prep":
         prep(spark, options.raw, options.readings)
-    elif options.job == "clusters":
-        clusters(spark, options.readings, options.results, options.method)
     elif options.job == "publish":
-        failed = publish(spark, options.results, write_pairs(options.pairs))
+        failed = publish(spark, options.results, write_pairs(options.pairs), options.runs)
         if failed:
             raise SystemExit(f"not published: {', '.join(failed)}")
     else:
-        job = {"annual": annual, "monthly": monthly, "hourly": hourly}[options.job]
-        job(spark, options.readings, options.results)
+        if options.job == "clusters":
+            clusters(spark, options.readings, options.results, options.method)
+        else:
+            job = {"annual": annual, "monthly": monthly, "hourly": hourly}[options.job]
+            job(spark, options.readings, options.results)
+        if options.show:
+            for name, schema in written(options.job, options.method).items():
+                show(read_result(spark, f"{options.results}/{name}", schema), options.show)
 
 
 if __name__ == "__main__":

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUN_KEYS = ("query_name", "query_type", "num_executors")
 
 
+def measured_runs(
+    spark: SparkSession,
+    query_name: str,
+    query_type: str,
+    num_executors: int,
+    seconds: Sequence[float],
+) -> DataFrame:
+    """One row per timed run of one query."""
+    rows = [(query_name, query_type, num_executors, float(s)) for s in seconds]
+    schema = "query_name string, query_type string, num_executors int, seconds double"
+    return spark.createDataFrame(rows, schema)
+
+
 def run_time_stats(runs: DataFrame, seconds: str = "seconds") -> DataFrame:
     """Runs, mean and sample standard deviation per (query, variant, executors).
 

@@ -44,3 +44,9 @@ def write_run_log(log: DataFrame, root: str) -> None:
 def evaluate(df: DataFrame) -> None:
     """Run a query in full and discard its rows."""
     df.write.format("noop").mode("overwrite").save()
+
+
+def show(result: DataFrame, rows: int = 100) -> None:
+    """Print schema and rows of a result on the console; only ``rows`` rows reach the driver."""
+    result.printSchema()
+    result.show(rows, truncate=False)
