@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from wattloom import jobs
 from wattloom.operators.runs import measured_runs, run_log_rows, run_time_stats
+from wattloom.plans import questions
 from wattloom.sinks.files import write_run_log
+from wattloom.sources.scans import read_result
 from wattloom.sources import electricity as names
 
 CODES = {"Italy": "IT", "Sweden": "SE", "Great Britain": "GB", "South Korea": "KR"}
@@ -152,6 +154,42 @@ def test_published_keys(spark, roots, done):
         assert set(pairs(spark, roots, f"curve_{method}")) == {f"{method}:{k}" for k in range(2, 16)}
 
 
+def test_sql_text_gives_the_written_results(spark, roots, done):
+    readings = jobs.load(spark, roots["readings"])
+    for df, name, schema in (
+        (questions.annual_sql(readings), "annual", questions.ANNUAL_SCHEMA),
+        (questions.monthly_ranks_sql(readings), "monthly_ranks", questions.RANKS_SCHEMA),
+        (questions.hourly_stats_sql(readings), "hourly_stats", questions.STATS_SCHEMA),
+    ):
+        written = read_result(spark, f"{roots['results']}/{name}", schema)
+        assert df.dtypes == written.dtypes
+        expected = sorted(map(tuple, written.collect()))
+        found = sorted(map(tuple, df.collect()))
+        assert len(found) == len(expected)
+        for ours, theirs in zip(found, expected):
+            assert ours == tuple(
+                pytest.approx(v, rel=1e-12) if isinstance(v, float) else v for v in theirs
+            )
+
+
+def test_empty_readings_give_empty_results(spark):
+    readings = spark.createDataFrame([], names.READINGS_SCHEMA)
+    means, profile = questions.monthly(readings), questions.hourly(readings)
+    found = {
+        questions.ANNUAL_SCHEMA: questions.annual(readings),
+        questions.MONTHLY_SCHEMA: means,
+        questions.RANKS_SCHEMA: questions.monthly_ranks(means),
+        questions.HOURLY_SCHEMA: profile,
+        questions.STATS_SCHEMA: questions.hourly_stats(profile),
+    }
+    clusters, curve = questions.clusters(questions.cluster_features(readings), "silhouette")
+    found[questions.CLUSTERS_SCHEMA] = clusters
+    found[questions.CURVE_SCHEMAS["silhouette"]] = curve
+    for schema, df in found.items():
+        assert df.isEmpty()
+        assert df.dtypes == spark.createDataFrame([], schema).dtypes
+
+
 def test_command_line_prints_and_publishes(spark, roots, done, tmp_path, capfd):
     where = ["--readings", roots["readings"], "--results", str(tmp_path / "results")]
     jobs.main(["annual", *where, "--show", "10"])

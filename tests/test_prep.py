@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import datetime
 
-from wattloom.operators.prep import drop_if_exists, empty_like
+from wattloom.operators.prep import drop_if_exists, prep_readings
 from wattloom.plans import questions
 from wattloom.sources.electricity import RAW_DROP
 
@@ -56,13 +56,14 @@ def test_numbers_and_timestamps_pass_through(spark):
     assert (row.year, row.month, row.day, row.hour, row.carbon_intensity) == (2024, 2, 29, 23, 7.25)
 
 
+def test_times_without_a_zone_are_the_utc_clock(spark):
+    raw = spark.sql("SELECT timestamp_ntz'2024-12-31 23:30:00' AS t, 'x' AS e, 1 AS v")
+    row = prep_readings(raw, "t", {"entity": "e"}, {"m1": "v"}).first()
+    assert row.datetime == datetime.datetime(2024, 12, 31, 23, 30)
+    assert (row.year, row.month, row.day, row.hour, row.m1) == (2024, 12, 31, 23, 1.0)
+
+
 def test_drop_if_exists(spark):
     df = spark.createDataFrame([(1, "a", "b")], "id int, Zone_name string, Data_source string")
     assert drop_if_exists(df, RAW_DROP).columns == ["id"]
     assert drop_if_exists(df.select("id"), RAW_DROP).columns == ["id"]
-
-
-def test_empty_like_keeps_the_schema(spark):
-    df = spark.createDataFrame([(1, "a")], "id int, name string")
-    assert empty_like(df).schema == df.schema
-    assert empty_like(df).isEmpty()

@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.operators import clustering, prep, profiles, ranking, summary
+from wattloom.plans import sql_text
 from wattloom.sources import electricity as names
 from wattloom.sources.scans import entity_subset, single_entity
 
 METRICS = {"carbon": "carbon_intensity", "cfe": "carbon_free_percentage"}
 MEAN_NAMES = {"carbon_mean": "avg_carbon_intensity", "cfe_mean": "avg_cfe"}
 
+GENERIC_NAMES = {"country_code": "entity", "carbon_intensity": "m1", "carbon_free_percentage": "m2"}
+RANK_TAGS = {"ci": "carbon_intensity", "cfe": "cfe"}
+STATS_TAGS = {"carbon-intensity": "avg_carbon_intensity", "cfe": "avg_cfe"}
+
 # Schemas of the published results.
 ANNUAL_SCHEMA = (
     "date int, country_code string, carbon_mean double, carbon_min double, carbon_max double,"
@@ -56,7 +61,7 @@ def monthly_ranks(means: DataFrame, n: int = 5) -> DataFrame:
         F.col("avg_carbon_intensity").alias("carbon_intensity"),
         F.col("avg_cfe").alias("cfe"),
     )
-    return ranking.two_way_ranking(rows, {"ci": "carbon_intensity", "cfe": "cfe"}, n, "date")
+    return ranking.two_way_ranking(rows, RANK_TAGS, n, "date")
 
 
 def hourly(readings: DataFrame) -> DataFrame:
@@ -68,8 +73,7 @@ def hourly(readings: DataFrame) -> DataFrame:
 
 def hourly_stats(profile: DataFrame) -> DataFrame:
     """Five numbers of each metric over the hours of the day."""
-    tags = {"carbon-intensity": "avg_carbon_intensity", "cfe": "avg_cfe"}
-    return summary.five_numbers(profile, "country_code", tags)
+    return summary.five_numbers(profile, "country_code", STATS_TAGS)
 
 
 def cluster_features(readings: DataFrame, year: int = names.CLUSTER_YEAR) -> DataFrame:
@@ -90,3 +94,30 @@ def clusters(features: DataFrame, method: str) -> tuple[DataFrame, DataFrame]:
         found.withColumnRenamed("cluster", "cluster_prediction"),
         curve.withColumnRenamed("silhouette", "silhouette_score").orderBy("k"),
     )
+
+
+def annual_sql(readings: DataFrame) -> DataFrame:
+    """``annual`` as SQL text."""
+    subset = entity_subset(readings, "country", names.TWO_COUNTRIES)
+    stats = sql_text.annual_stats_sql(subset.withColumnsRenamed(GENERIC_NAMES))
+    labels = [
+        F.col(f"{generic}_{stat}").alias(f"{name}_{stat}")
+        for generic, name in (("m1", "carbon"), ("m2", "cfe"))
+        for stat in ("mean", "min", "max")
+    ]
+    return stats.select("date", F.col("entity").alias("country_code"), *labels)
+
+
+def monthly_ranks_sql(readings: DataFrame, n: int = 5) -> DataFrame:
+    """``monthly_ranks`` over ``monthly`` as SQL text."""
+    one = single_entity(readings, "country", names.ONE_COUNTRY)
+    ranks = sql_text.monthly_top_sql(one.withColumnsRenamed(GENERIC_NAMES), n, tuple(RANK_TAGS))
+    return ranks.withColumnsRenamed({"m1_mean": "carbon_intensity", "m2_mean": "cfe"})
+
+
+def hourly_stats_sql(readings: DataFrame) -> DataFrame:
+    """``hourly_stats`` over ``hourly`` as SQL text."""
+    subset = entity_subset(readings, "country", names.TWO_COUNTRIES)
+    renamed = subset.withColumnsRenamed(GENERIC_NAMES)
+    stats = sql_text.hourly_five_numbers_sql(renamed, tuple(STATS_TAGS))
+    return stats.withColumnRenamed("entity", "country_code")

@@ -22,8 +22,9 @@ WITH monthly AS (
 ),
 entries AS (
   SELECT date, m1_mean, m2_mean,
-         stack(4, 'm1_desc', -m1_mean, 'm1_asc', m1_mean,
-                  'm2_desc', -m2_mean, 'm2_asc', m2_mean) AS (rank_type, score)
+         stack(4, concat(:first, '_desc'), -m1_mean, concat(:first, '_asc'), m1_mean,
+                  concat(:second, '_desc'), -m2_mean, concat(:second, '_asc'), m2_mean)
+         AS (rank_type, score)
   FROM monthly
 ),
 ranked AS (
@@ -44,8 +45,8 @@ WITH summaries AS (
   FROM hourly_averages
   GROUP BY entity
 )
-SELECT entity, stack(2, 'm1', min1, q1[0], q1[1], q1[2], max1,
-                        'm2', min2, q2[0], q2[1], q2[2], max2)
+SELECT entity, stack(2, :first, min1, q1[0], q1[1], q1[2], max1,
+                        :second, min2, q2[0], q2[1], q2[2], max2)
        AS (data, min, `25-perc`, `50-perc`, `75-perc`, max)
 FROM summaries
 """
@@ -57,19 +58,26 @@ GROUP BY entity, hour
 """
 
 
+TAGS = ("m1", "m2")
+
+
 def annual_stats_sql(readings: DataFrame) -> DataFrame:
     readings.createOrReplaceTempView("annual_readings")
     return readings.sparkSession.sql(ANNUAL_STATS)
 
 
-def monthly_top_sql(readings: DataFrame, n: int = 5) -> DataFrame:
+def monthly_top_sql(
+    readings: DataFrame, n: int = 5, tags: tuple[str, str] = TAGS
+) -> DataFrame:
+    """Rank types start with the tags."""
     readings.createOrReplaceTempView("monthly_readings")
-    return readings.sparkSession.sql(MONTHLY_TOP, args={"n": n})
+    arguments = {"n": n, "first": tags[0], "second": tags[1]}
+    return readings.sparkSession.sql(MONTHLY_TOP, args=arguments)
 
 
-def hourly_five_numbers_sql(readings: DataFrame) -> DataFrame:
-    """A view on a query on a view."""
+def hourly_five_numbers_sql(readings: DataFrame, tags: tuple[str, str] = TAGS) -> DataFrame:
+    """A view on a query on a view. The tags go to the column ``data``."""
     spark = readings.sparkSession
     readings.createOrReplaceTempView("hourly_readings")
     spark.sql(HOURLY_AVERAGES).createOrReplaceTempView("hourly_averages")
-    return spark.sql(HOURLY_FIVE_NUMBERS)
+    return spark.sql(HOURLY_FIVE_NUMBERS, args={"first": tags[0], "second": tags[1]})
