@@ -10,10 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattloom import jobs
+from wattloom.operators.profiles import entity_year_mean
 from wattloom.operators.runs import measured_runs, run_log_rows, run_time_stats
 from wattloom.plans import questions
 from wattloom.sinks.files import write_run_log
-from wattloom.sources.scans import read_result
+from wattloom.sources.scans import entity_subset, read_result
 from wattloom.sources import electricity as names
 
 CODES = {"Italy": "IT", "Sweden": "SE", "Great Britain": "GB", "South Korea": "KR"}
@@ -80,6 +81,15 @@ def test_prep_keeps_every_row(spark, roots, done):
     assert readings.select("country").distinct().count() == 31
 
 
+def test_countries_and_year_prune_the_scan(spark, roots, done):
+    subset = entity_subset(jobs.load(spark, roots["readings"]), "country", names.THIRTY_COUNTRIES)
+    means = entity_year_mean(subset, "country_code", "carbon_intensity", 2024, "mean")
+    plan = means._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(year,2024)" in plan
+    assert "PartitionFilters: [country" in plan
+    assert "ReadSchema: struct<country_code:string,carbon_intensity:double,year:int>" in plan
+
+
 def test_annual(roots, done):
     rows = result(roots, "annual")
     assert list(rows[0]) == [
@@ -96,9 +106,16 @@ def test_annual(roots, done):
 
 
 def test_annual_mean_is_the_clustered_value(roots, done):
-    annual = {r["country_code"]: float(r["carbon_mean"]) for r in result(roots, "annual") if r["date"] == "2024"}
+    annual = {
+        r["country_code"]: float(r["carbon_mean"])
+        for r in result(roots, "annual")
+        if r["date"] == "2024"
+    }
     for method in jobs.METHODS:
-        clusters = {r["country_code"]: float(r["avg_carbon_intensity"]) for r in result(roots, f"clusters_{method}")}
+        clusters = {
+            r["country_code"]: float(r["avg_carbon_intensity"])
+            for r in result(roots, f"clusters_{method}")
+        }
         assert len(clusters) == 30
         for code, mean in annual.items():
             assert clusters[code] == pytest.approx(mean, rel=1e-12)
@@ -106,10 +123,15 @@ def test_annual_mean_is_the_clustered_value(roots, done):
 
 def test_monthly_ranks(roots, done):
     months = {r["date"]: r for r in result(roots, "monthly_means")}
-    assert list(months) == ["2023_11", "2023_12", "2024_01", "2024_02", "2024_03", "2024_04", "2024_05"]
+    assert list(months) == [
+        "2023_11", "2023_12", "2024_01", "2024_02", "2024_03", "2024_04", "2024_05",
+    ]
     ranks = result(roots, "monthly_ranks")
     assert len(ranks) == 20
-    for tag, column, source in (("ci", "carbon_intensity", "avg_carbon_intensity"), ("cfe", "cfe", "avg_cfe")):
+    for tag, column, source in (
+        ("ci", "carbon_intensity", "avg_carbon_intensity"),
+        ("cfe", "cfe", "avg_cfe"),
+    ):
         for way, sign in (("desc", -1), ("asc", 1)):
             rows = [r for r in ranks if r["rank_type"] == f"{tag}_{way}"]
             assert [r["rank_num"] for r in rows] == list("12345")
@@ -131,7 +153,10 @@ def test_hourly_stats(roots, done):
 
 @pytest.mark.parametrize("method", jobs.METHODS)
 def test_clusters(roots, done, method):
-    rows = [(int(r["cluster_prediction"]), float(r["avg_carbon_intensity"])) for r in result(roots, f"clusters_{method}")]
+    rows = [
+        (int(r["cluster_prediction"]), float(r["avg_carbon_intensity"]))
+        for r in result(roots, f"clusters_{method}")
+    ]
     assert rows == sorted(rows)
     assert {c for c, _ in rows} == set(range(max(c for c, _ in rows) + 1))
     curve = result(roots, f"curve_{method}")
@@ -194,7 +219,10 @@ def test_command_line_prints_and_publishes(spark, roots, done, tmp_path, capfd):
     where = ["--readings", roots["readings"], "--results", str(tmp_path / "results")]
     jobs.main(["annual", *where, "--show", "10"])
     assert "carbon_mean" in capfd.readouterr().out
-    write_run_log(run_log_rows(run_time_stats(measured_runs(spark, "Q1", "sql", 2, [1, 2]))), str(tmp_path / "runs"))
+    jobs.main(["clusters", *where, "--method", "elbow", "--seeds", "1", "2", "--show", "30"])
+    assert "cluster_prediction" in capfd.readouterr().out
+    runs = run_time_stats(measured_runs(spark, "Q1", "sql", 2, [1, 2]))
+    write_run_log(run_log_rows(runs), str(tmp_path / "runs"))
     publishing = ["publish", "--results", roots["results"], "--pairs", str(tmp_path / "pairs")]
     jobs.main([*publishing, "--runs", str(tmp_path / "runs")])
     found = pairs(spark, {"pairs": str(tmp_path / "pairs")}, "runs")

@@ -146,7 +146,9 @@ def test_key_families(spark):
     assert list(pairs_of(families.kv_monthly_means(ranks.select("date", "cfe"), "italy"))) == [
         "q2:italy:monthly_avg:2022_12"
     ]
-    stats = spark.createDataFrame([("IT", "cfe", 1.0, 2.0)], "c string, data string, min double, `25-perc` double")
+    stats = spark.createDataFrame(
+        [("IT", "cfe", 1.0, 2.0)], "c string, data string, min double, `25-perc` double"
+    )
     assert pairs_of(families.kv_hourly_stats(stats, "c")) == {
         "q3:stats:IT:cfe": {"min": 1.0, "25-perc": 2.0}
     }
@@ -159,7 +161,10 @@ def test_key_families(spark):
     assert list(pairs_of(families.kv_clusters(clusters, "c", "elbow"))) == ["clustering:elbow:IT"]
     curve = spark.createDataFrame([(2, 9.5)], "k int, wcss double")
     assert pairs_of(families.kv_curve(curve, "elbow")) == {"elbow:2": {"k": 2, "wcss": 9.5}}
-    log = spark.createDataFrame([("Q1", "sql", 1.5, 3)], "query_name string, query_type string, t double, num_executors int")
+    log = spark.createDataFrame(
+        [("Q1", "sql", 1.5, 3)],
+        "query_name string, query_type string, t double, num_executors int",
+    )
     assert list(pairs_of(families.kv_run_times(log))) == ["performance:Q1:sql:3"]
 
 

@@ -4,7 +4,7 @@ Run with ``spark-submit`` or ``python -m wattloom.jobs``:
 
     prep     --raw ROOT --readings ROOT
     annual   --readings ROOT --results ROOT        (likewise monthly, hourly)
-    clusters --readings ROOT --results ROOT --method elbow|silhouette
+    clusters --readings ROOT --results ROOT --method elbow|silhouette [--seeds 1 2 3]
     publish  --results ROOT --pairs ROOT [--runs ROOT]
 
 A question job prints what it wrote with ``--show ROWS``.
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import argparse
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,9 +62,11 @@ def hourly(spark: SparkSession, readings: str, results: str) -> None:
     write_result(stats, f"{results}/hourly_stats", order_by=("data", "country_code"))
 
 
-def clusters(spark: SparkSession, readings: str, results: str, method: str) -> None:
+def clusters(
+    spark: SparkSession, readings: str, results: str, method: str, seeds: Sequence[int] = (1,)
+) -> None:
     features = questions.cluster_features(load(spark, readings))
-    found, curve = questions.clusters(features, method)
+    found, curve = questions.clusters(features, method, seeds)
     order = ("cluster_prediction", "avg_carbon_intensity")
     write_result(found, f"{results}/clusters_{method}", order_by=order)
     write_result(curve, f"{results}/curve_{method}", order_by=("k",))
@@ -167,6 +169,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--pairs")
     parser.add_argument("--runs")
     parser.add_argument("--method", choices=METHODS, default="elbow")
+    parser.add_argument("--seeds", type=int, nargs="+", default=[1])
     parser.add_argument("--show", type=int, default=0, metavar="ROWS")
     options = parser.parse_args(arguments)
     spark = build_session(f"wattloom-{options.job}")
@@ -178,7 +181,7 @@ def main(arguments: list[str] | None = None) -> None:
             raise SystemExit(f"not published: {', '.join(failed)}")
     else:
         if options.job == "clusters":
-            clusters(spark, options.readings, options.results, options.method)
+            clusters(spark, options.readings, options.results, options.method, options.seeds)
         else:
             job = {"annual": annual, "monthly": monthly, "hourly": hourly}[options.job]
             job(spark, options.readings, options.results)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,10 +87,12 @@ def cluster_features(readings: DataFrame, year: int = names.CLUSTER_YEAR) -> Dat
     return clustering.feature_table(means, "country_code", "avg_carbon_intensity")
 
 
-def clusters(features: DataFrame, method: str) -> tuple[DataFrame, DataFrame]:
+def clusters(
+    features: DataFrame, method: str, seeds: Sequence[int] = (1,)
+) -> tuple[DataFrame, DataFrame]:
     """Clusters and tuning curve, with k chosen by ``elbow`` or ``silhouette``."""
     found, curve = clustering.cluster_by_choice(
-        features, "country_code", "avg_carbon_intensity", method
+        features, "country_code", "avg_carbon_intensity", method, seeds
     )
     return (
         found.withColumnRenamed("cluster", "cluster_prediction"),

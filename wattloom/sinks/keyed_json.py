@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
-from itertools import batched
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from itertools import islice
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from wattloom.functions.naming import named
@@ -46,10 +46,10 @@ def publish(pairs: DataFrame, open_store: Callable[[], Store], batch_size: int =
     Setting a key twice leaves the same value, so a task that is run again does no harm.
     """
 
-    def send(rows) -> None:
+    def send(rows: Iterator[Row]) -> None:
         store = open_store()
         try:
-            for batch in batched(rows, batch_size):
+            while batch := list(islice(rows, batch_size)):
                 store.set_many([(row.key, row.value) for row in batch])
         finally:
             store.close()
