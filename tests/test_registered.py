@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from tests.brute import elbow, least_wcss, silhouette, wcss
+from wattloom.sources.tables import SCHEMAS, table
 
 QUERIES = entry_points.queries()
 SMALL = "/root/testdata/sf0.001"
@@ -82,3 +83,10 @@ def test_the_year_reaches_the_scan(spark):
 def test_only_needed_columns_are_read(spark):
     plan = QUERIES["annual_stats"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "l_orderkey" not in plan and "l_tax" not in plan
+
+
+@pytest.mark.parametrize("name", sorted(SCHEMAS))
+@pytest.mark.parametrize("scale", ["0.001", "0.01", "0.1"])
+def test_known_schemas_are_those_of_the_files(spark, scale, name):
+    found = spark.read.parquet(f"/root/testdata/sf{scale}/{name}.parquet").dtypes
+    assert found == table(spark, f"/root/testdata/sf{scale}", name).dtypes
