@@ -13,7 +13,7 @@ from wattloom import jobs
 from wattloom.operators.profiles import entity_year_mean
 from wattloom.operators.runs import measured_runs, run_log_rows, run_time_stats
 from wattloom.plans import questions
-from wattloom.sinks.files import write_run_log
+from wattloom.sinks.files import write_readings, write_run_log
 from wattloom.sources.scans import entity_subset, read_result
 from wattloom.sources import electricity as names
 
@@ -215,12 +215,30 @@ def test_empty_readings_give_empty_results(spark):
         assert df.dtypes == spark.createDataFrame([], schema).dtypes
 
 
+def test_jobs_on_empty_readings_write_empty_results(spark, tmp_path):
+    readings, results, out = (str(tmp_path / n) for n in ("readings", "results", "pairs"))
+    write_readings(spark.createDataFrame([], names.READINGS_SCHEMA), readings, "country")
+    jobs.annual(spark, readings, results)
+    jobs.monthly(spark, readings, results)
+    jobs.hourly(spark, readings, results)
+    for method in jobs.METHODS:
+        jobs.clusters(spark, readings, results, method)
+    assert jobs.publish(spark, results, jobs.write_pairs(out)) == []
+    for job in ("annual", "monthly", "hourly", "clusters"):
+        for name, schema in jobs.written(job, "elbow").items():
+            assert read_result(spark, f"{results}/{name}", schema).isEmpty()
+            assert spark.read.schema("key string, value string").parquet(f"{out}/{name}").isEmpty()
+
+
 def test_command_line_prints_and_publishes(spark, roots, done, tmp_path, capfd):
     where = ["--readings", roots["readings"], "--results", str(tmp_path / "results")]
     jobs.main(["annual", *where, "--show", "10"])
     assert "carbon_mean" in capfd.readouterr().out
     jobs.main(["clusters", *where, "--method", "elbow", "--seeds", "1", "2", "--show", "30"])
     assert "cluster_prediction" in capfd.readouterr().out
+    jobs.main(["clusters", *where, "--method", "elbow", "--year", "1999"])
+    empty = read_result(spark, str(tmp_path / "results/clusters_elbow"), questions.CLUSTERS_SCHEMA)
+    assert empty.isEmpty()
     runs = run_time_stats(measured_runs(spark, "Q1", "sql", 2, [1, 2]))
     write_run_log(run_log_rows(runs), str(tmp_path / "runs"))
     publishing = ["publish", "--results", roots["results"], "--pairs", str(tmp_path / "pairs")]

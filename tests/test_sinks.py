@@ -57,6 +57,14 @@ def test_names_that_look_like_numbers_stay_text(spark, folder):
     assert {r.entity for r in back.collect()} == {"007"}
 
 
+def test_unusual_entities_come_back(spark, folder):
+    entities = [None, "A/B=C%", "Côte d'Ivoire", " ", "2024-01-01"]
+    df = spark.createDataFrame([(None, e, float(i)) for i, e in enumerate(entities)], READINGS)
+    files.write_readings(df, folder, "entity")
+    back = scans.read_readings(spark, folder, READINGS).orderBy("m1").collect()
+    assert [r.entity for r in back] == entities
+
+
 def test_hot_entity_is_written_by_several_tasks_in_time_order(spark, folder):
     setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(setting)

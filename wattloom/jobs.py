@@ -4,7 +4,7 @@ Run with ``spark-submit`` or ``python -m wattloom.jobs``:
 
     prep     --raw ROOT --readings ROOT
     annual   --readings ROOT --results ROOT        (likewise monthly, hourly)
-    clusters --readings ROOT --results ROOT --method elbow|silhouette [--seeds 1 2 3]
+    clusters --readings ROOT --results ROOT --method elbow|silhouette [--year 2024] [--seeds 1 2]
     publish  --results ROOT --pairs ROOT [--runs ROOT]
 
 A question job prints what it wrote with ``--show ROWS``.
@@ -63,9 +63,14 @@ def hourly(spark: SparkSession, readings: str, results: str) -> None:
 
 
 def clusters(
-    spark: SparkSession, readings: str, results: str, method: str, seeds: Sequence[int] = (1,)
+    spark: SparkSession,
+    readings: str,
+    results: str,
+    method: str,
+    year: int = names.CLUSTER_YEAR,
+    seeds: Sequence[int] = (1,),
 ) -> None:
-    features = questions.cluster_features(load(spark, readings))
+    features = questions.cluster_features(load(spark, readings), year)
     found, curve = questions.clusters(features, method, seeds)
     order = ("cluster_prediction", "avg_carbon_intensity")
     write_result(found, f"{results}/clusters_{method}", order_by=order)
@@ -169,6 +174,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--pairs")
     parser.add_argument("--runs")
     parser.add_argument("--method", choices=METHODS, default="elbow")
+    parser.add_argument("--year", type=int, default=names.CLUSTER_YEAR)
     parser.add_argument("--seeds", type=int, nargs="+", default=[1])
     parser.add_argument("--show", type=int, default=0, metavar="ROWS")
     options = parser.parse_args(arguments)
@@ -181,7 +187,8 @@ def main(arguments: list[str] | None = None) -> None:
             raise SystemExit(f"not published: {', '.join(failed)}")
     else:
         if options.job == "clusters":
-            clusters(spark, options.readings, options.results, options.method, options.seeds)
+            where = (options.readings, options.results)
+            clusters(spark, *where, options.method, options.year, options.seeds)
         else:
             job = {"annual": annual, "monthly": monthly, "hourly": hourly}[options.job]
             job(spark, options.readings, options.results)

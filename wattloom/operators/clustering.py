@@ -111,7 +111,9 @@ def k_sweep(
             log.warning("k=%d could not be scored", k, exc_info=True)
         return k, wcss, quality
 
-    features.persist(StorageLevel.MEMORY_AND_DISK)
+    ours = not features.is_cached
+    if ours:
+        features.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         ks = list(cluster_range(features, k_max))
         if not ks:
@@ -119,7 +121,8 @@ def k_sweep(
         with ThreadPool(min(parallelism or len(ks), len(ks))) as pool:
             curve = pool.map(inheritable_thread_target(spark)(score), ks)
     finally:
-        features.unpersist()
+        if ours:
+            features.unpersist()
     return Sweep(models, spark.createDataFrame(curve, CURVE))
 
 
