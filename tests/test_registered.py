@@ -90,3 +90,30 @@ def test_only_needed_columns_are_read(spark):
 def test_known_schemas_are_those_of_the_files(spark, scale, name):
     found = spark.read.parquet(f"/root/testdata/sf{scale}/{name}.parquet").dtypes
     assert found == table(spark, f"/root/testdata/sf{scale}", name).dtypes
+
+
+def plan_of(spark, name):
+    return QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {n for n in QUERIES if "sweep" in n}))
+def test_no_plan_joins_broadcasts_or_calls_python(spark, name):
+    plan = plan_of(spark, name)
+    for operator in ("Join", "CartesianProduct", "BroadcastExchange", "Python", "InPandas"):
+        assert operator not in plan
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["annual_stats", "monthly_means", "hourly_profile", "entity_year_mean", "rows_per_entity",
+     "row_count", "run_time_stats", "wcss_given_labels"],
+)
+def test_groups_are_aggregated_before_the_shuffle(spark, name):
+    plan = plan_of(spark, name)
+    scan, shuffle = plan.index("FileScan"), plan.rindex("Exchange")
+    assert shuffle < plan.rindex("partial_") < scan
+
+
+def test_one_scan_serves_all_rankings_and_both_metrics(spark):
+    for name in ("monthly_top5", "monthly_top5_sql", "hourly_five_number", "hourly_five_number_sql"):
+        assert plan_of(spark, name).count("FileScan") == 1

@@ -53,7 +53,10 @@ def approx_quartiles(
     quartiles: Sequence[float] = QUARTILES,
     accuracy: int = 10000,
 ) -> DataFrame:
-    """p25, p50 and p75 per (entity, metric) as members of the data, from a bounded sketch."""
+    """p25, p50 and p75 per (entity, metric) as members of the data.
+
+    The sketch per group is bounded by ``accuracy``, so raw readings will do as well as a profile.
+    """
     sketches = [
         F.percentile_approx(named(column), list(quartiles), accuracy).alias(tag)
         for tag, column in metrics.items()

@@ -41,17 +41,20 @@ class Store(Protocol):
 
 
 def publish(pairs: DataFrame, open_store: Callable[[], Store], batch_size: int = 1000) -> None:
-    """Send pairs to a key/value store, one connection per partition and one call per batch.
+    """Send pairs to a key/value store, one connection per partition with rows, one call per batch.
 
     Setting a key twice leaves the same value, so a task that is run again does no harm.
     """
 
     def send(rows: Iterator[Row]) -> None:
-        store = open_store()
+        store = None
         try:
             while batch := list(islice(rows, batch_size)):
+                if store is None:
+                    store = open_store()
                 store.set_many([(row.key, row.value) for row in batch])
         finally:
-            store.close()
+            if store is not None:
+                store.close()
 
     pairs.foreachPartition(send)
