@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -83,6 +83,13 @@ class Sweep(NamedTuple):
     curve: DataFrame
 
 
+def fits_at_once(features: DataFrame) -> int:
+    """Many for a small table, whose fits wait for the driver more than they compute; four for a
+    table that fills the cores, so that one fit computes while another waits."""
+    cores = features.sparkSession.sparkContext.defaultParallelism
+    return max(4, 2 * cores // max(1, features.rdd.getNumPartitions()))
+
+
 def k_sweep(
     features: DataFrame,
     k_max: int = 15,
@@ -92,9 +99,9 @@ def k_sweep(
 ) -> Sweep:
     """Fit and score every k in ``cluster_range``.
 
-    A fit is a chain of short jobs and the fits are independent, so they run at the same time, as
-    in Spark's own tuning: all of them, or ``parallelism`` at once. They share one persisted copy
-    of the feature table.
+    The fits are independent, so ``parallelism`` of them run at the same time, as in Spark's own
+    tuning. Each reads the feature table once and keeps its rows in the form the fit needs, in
+    memory or on disk, until it is done; that beats sharing one cached copy of the table.
     """
     spark = features.sparkSession
     models: dict[int, KMeansModel] = {}
@@ -111,18 +118,11 @@ def k_sweep(
             log.warning("k=%d could not be scored", k, exc_info=True)
         return k, wcss, quality
 
-    ours = not features.is_cached
-    if ours:
-        features.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        ks = list(cluster_range(features, k_max))
-        if not ks:
-            return Sweep(models, spark.createDataFrame([], CURVE))
-        with ThreadPool(min(parallelism or len(ks), len(ks))) as pool:
-            curve = pool.map(inheritable_thread_target(spark)(score), ks)
-    finally:
-        if ours:
-            features.unpersist()
+    ks = list(cluster_range(features, k_max))
+    if not ks:
+        return Sweep(models, spark.createDataFrame([], CURVE))
+    with ThreadPool(min(parallelism or fits_at_once(features), len(ks))) as pool:
+        curve = pool.map(inheritable_thread_target(spark)(score), ks)
     return Sweep(models, spark.createDataFrame(curve, CURVE))
 
 
