@@ -354,11 +354,28 @@ def entry(spark: SparkSession) -> DataFrame:
     return annual_stats(use_utc(spark), SMOKE_DIR)
 
 
+def corpus() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the corpus operators; none where that part is not installed."""
+    try:
+        import corpus_pipeline
+        from wattloom.llm import expected
+        from wattloom.llm import queries as operators
+    except ImportError as error:
+        if error.name not in ("wattloom.llm", "corpus_pipeline"):
+            raise
+        return {}, {}
+    found = dict(operators.QUERIES, pipeline=corpus_pipeline.run)
+    sql = dict(expected.EXPECTED)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Query]:
-    return {name: in_utc(query) for name, query in REGISTERED.items()}
+    return {name: in_utc(query) for name, query in {**REGISTERED, **corpus()[0]}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     from wattloom.plans.expected import expected_sql
 
-    return expected_sql(CENTERS, CLUSTER_YEAR)
+    return {**expected_sql(CENTERS, CLUSTER_YEAR), **corpus()[1]}
