@@ -52,3 +52,23 @@ def text_key(text: Column) -> list[Column]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def file_system(uri: str):
+    """The pyarrow file system of a folder in the shared folder, and the path in it. For use in
+    tasks: local and network paths alike, so nothing is assumed about the machine."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri)
+
+
+def write_once(uri: str, suffix: str, chunks) -> str:
+    """Write byte chunks under a name of its own and return the name. A task that runs twice
+    leaves two files, and the result of the one that counts names the file that counts."""
+    files, folder = file_system(uri)
+    files.create_dir(folder, recursive=True)
+    name = f"{uuid.uuid4().hex}{suffix}"
+    with files.open_output_stream(f"{folder}/{name}") as out:
+        for chunk in chunks:
+            out.write(chunk)
+    return name

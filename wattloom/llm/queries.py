@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontamination, mixing
+from wattloom.llm import decontamination, mixing, token_store
 from wattloom.llm.common import table
 
 
@@ -13,6 +13,20 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+END_ID = 1
+
+
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_store.read_store(token_store.write_store(docs, tokenizer_path(), END_ID))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     found = decontamination.contaminated(docs, benchmark)
@@ -23,5 +37,6 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_token_store": op2_token_store,
     "op6_decontamination": op6_decontamination,
 }
