@@ -20,7 +20,7 @@ from pyspark.sql import types as T  # noqa: E402
 from wattloom.functions.naming import named  # noqa: E402
 from wattloom.operators import clustering, prep, profiles, ranking, runs, summary  # noqa: E402
 from wattloom.plans import families, sql_text  # noqa: E402
-from wattloom.session import shared_dir, use_utc  # noqa: E402
+from wattloom.session import shared_dir, ship_package, use_utc  # noqa: E402
 from wattloom.sinks import files  # noqa: E402
 from wattloom.sources import scans, tables  # noqa: E402
 from wattloom.sources.tables import MEANS, METRICS  # noqa: E402
@@ -344,7 +344,7 @@ REGISTERED: dict[str, Query] = {
 
 def in_utc(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(use_utc(spark), sf_dir)
+        return query(ship_package(use_utc(spark)), sf_dir)
 
     return run
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -45,3 +47,19 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="wattloom-"))
     return context.getCheckpointDir()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors' Python, once per context, for functions that run there.
+
+    A deployment may have installed it already; then the copy does no harm.
+    """
+    context = spark.sparkContext
+    if not getattr(context, "_wattloom_shipped", False):
+        folder = tempfile.mkdtemp(prefix="wattloom-package-")
+        package = Path(__file__).resolve().parent
+        context.addPyFile(
+            shutil.make_archive(f"{folder}/wattloom", "zip", package.parent, package.name)
+        )
+        context._wattloom_shipped = True
+    return spark
