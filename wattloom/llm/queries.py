@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontamination, mixing, token_store
+from wattloom.llm import decontamination, line_crf, mixing, token_store
 from wattloom.llm.common import table
 
 
@@ -35,8 +35,15 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = line_crf.train(docs, table(spark, sf_dir, "labels"))
+    return line_crf.assess(docs, model)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_token_store": op2_token_store,
     "op6_decontamination": op6_decontamination,
+    "op9_line_crf": op9_line_crf,
 }
