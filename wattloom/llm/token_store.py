@@ -76,11 +76,11 @@ class Encoder:
     def by_pieces(self, text: str) -> bytes:
         found = self.pattern.findall(text.lower())
         known = self.pieces
-        new = set(found) - known.keys()
+        new = [piece for piece in set(found) if piece not in known]
         if new:
             if len(known) + len(new) > KNOWN_PIECES:
                 known.clear()
-                new = set(found)
+                new = list(set(found))
             for piece in new:
                 symbols = piece.encode().decode("latin-1").translate(self.byte_chars)
                 known[piece] = self.packed([t.id for t in self.tokenizer.model.tokenize(symbols)])
