@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontamination, line_crf, mixing, token_store
+from wattloom.llm import decontamination, line_crf, mixing, token_store, toxicity
 from wattloom.llm.common import table
 
 
@@ -35,6 +35,18 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def remainder(id: str, by: int) -> Column:
+    """crc32 of the id as text, modulo."""
+    return F.crc32(F.coalesce(F.col(id).cast("string"), F.lit(""))) % by
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    machine = toxicity.train(docs, labels, usable=remainder("doc_id", 4) != 2)
+    held_out = (remainder("doc_id", 4) == 2).alias("held_out")
+    return toxicity.scored(docs, machine).select("doc_id", held_out, "score", "predicted")
+
+
 def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = line_crf.train(docs, table(spark, sf_dir, "labels"))
@@ -45,5 +57,6 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_token_store": op2_token_store,
     "op6_decontamination": op6_decontamination,
+    "op7_toxicity": op7_toxicity,
     "op9_line_crf": op9_line_crf,
 }
