@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontamination, line_crf, mixing, token_store, toxicity
+from wattloom.llm import decontamination, line_crf, mixing, shingle_join, token_store, toxicity
 from wattloom.llm.common import table
 
 
@@ -53,10 +53,15 @@ def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.assess(docs, model)
 
 
+def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.linked_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_token_store": op2_token_store,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
     "op9_line_crf": op9_line_crf,
+    "op10_shingle_join": op10_shingle_join,
 }
