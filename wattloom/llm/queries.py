@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontamination, line_crf, mixing, shingle_join, token_store, toxicity
+from wattloom.llm import decontamination, line_crf, mixing, shingle_join, token_store, toxicity, wrapper
 from wattloom.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(token_store.write_store(docs, tokenizer_path(), END_ID))
 
 
+def op5_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     found = decontamination.contaminated(docs, benchmark)
@@ -60,6 +64,7 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_token_store": op2_token_store,
+    "op5_wrapper": op5_wrapper,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
     "op9_line_crf": op9_line_crf,

@@ -93,7 +93,7 @@ def entries(
     """Index entries of one set and, per entry, how many rare tokens come before it."""
     n = len(tokens)
     allowed = n - -(-percent * n // 100)
-    if (100 * n) // percent == n and allowed == 0:
+    if allowed == 0 and (100 * n) // percent == n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int32)  # linked with equal sets only
     load = counts[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
     # The class comes first in the order, then the count, then the hash.
@@ -109,14 +109,10 @@ def entries(
         subclasses = max(1, (1 << size_class) // (2 * SUBCLASS_TOKENS))
         part = ((common >> np.uint64(8)) % np.uint64(subclasses)).astype(np.int64)
         # Each token but the first of its subclass adds one to what must be missing.
-        seen = np.zeros(subclasses, dtype=bool)
-        gains = np.zeros(len(common), dtype=np.int64)
-        first = np.unique(part, return_index=True)[1]
-        gains[:] = 1
-        gains[first] = 0
+        gains = np.ones(len(common), dtype=np.int64)
+        gains[np.unique(part, return_index=True)[1]] = 0
         reached = np.searchsorted(rare + np.cumsum(gains), needed)
         taken, own = common[: reached + 1], part[: reached + 1]
-        del seen
         by_part = np.argsort(own, kind="stable")
         taken, own = taken[by_part], own[by_part]
         starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
