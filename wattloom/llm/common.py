@@ -68,7 +68,12 @@ def write_once(uri: str, suffix: str, chunks) -> str:
     files, folder = file_system(uri)
     files.create_dir(folder, recursive=True)
     name = f"{uuid.uuid4().hex}{suffix}"
-    with files.open_output_stream(f"{folder}/{name}") as out:
+    with files.open_output_stream(f"{folder}/{name}", compression=None) as out:
         for chunk in chunks:
             out.write(chunk)
     return name
+
+
+def small(df: DataFrame, rows: int = 400_000) -> DataFrame:
+    """Broadcast a written table if it has few rows; join it by shuffling otherwise."""
+    return F.broadcast(df) if df.count() <= rows else df

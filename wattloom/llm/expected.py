@@ -131,4 +131,21 @@ FROM windows WHERE n_equal >= n_window * {MIN_SHARE}
 GROUP BY doc_id, item_id
 """
 
-EXPECTED = {"op1_mixing": OP1, "op6_decontamination": OP6}
+OP4 = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+),
+stored AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000
+                 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS stored
+  FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN stored IS NULL OR stored = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN stored <> page_id THEN stored END AS refers_to
+FROM stored
+"""
+
+EXPECTED = {"op1_mixing": OP1, "op4_warc": OP4, "op6_decontamination": OP6}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontamination, line_crf, mixing, shingle_join, token_store, toxicity, wrapper
+from wattloom.llm import decontamination, line_crf, mixing, shingle_join, token_store, toxicity, warc, wrapper
 from wattloom.llm.common import table
 
 
@@ -27,6 +27,12 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(token_store.write_store(docs, tokenizer_path(), END_ID))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages have no time of capture; one second per page id stands for it."""
+    captured = F.timestamp_seconds(F.lit(1_600_000_000) + F.col("page_id"))
+    return warc.read_records(warc.write_archive(table(spark, sf_dir, "pages"), captured))
+
+
 def op5_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrapper.extract(table(spark, sf_dir, "pages"))
 
@@ -64,6 +70,7 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_token_store": op2_token_store,
+    "op4_warc": op4_warc,
     "op5_wrapper": op5_wrapper,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import saved
+from wattloom.llm.common import saved, small
 from wattloom.llm.graph import components
 
 WORDS = 4
@@ -42,7 +42,6 @@ FREQUENT = 64
 SUBCLASS_TOKENS = 32
 HISTOGRAM = 256
 KNOWN_WORDS = 400_000
-MAX_BROADCAST_ROWS = 400_000
 
 ODD = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 KNOWN: dict[bytes, bytes] = {}
@@ -222,11 +221,6 @@ def index_rows(docs: DataFrame, text: str, n: int, percent: int, counts: np.ndar
     return docs.select(F.col(text)).mapInArrow(run, "entry long, key long, n int, before int")
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast a written table if it has few rows; join it by shuffling otherwise."""
-    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
-
-
 def may_link(percent: int, n: Column, before: Column, m: Column, before_m: Column) -> Column:
     """Whether sizes and positions allow a link: in the first entry that two sets share, no rarer
     token is common, so the overlap is at most what comes after it."""

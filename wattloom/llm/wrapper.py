@@ -23,11 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import saved
+from wattloom.llm.common import saved, small
 
 GROUP = 48
 HOT_PAGES = 1024
-MAX_BROADCAST_ROWS = 200_000
 #: Deeper elements become siblings, as in browsers; no text is lost.
 MAX_DEPTH = 200
 MIN_PAGES = 4
@@ -380,10 +379,9 @@ def extract(
     hot = saved(
         counted.select("host", F.ceil(F.col("pages") / HOT_PAGES).cast("long").alias("parts")), "hot-hosts"
     )
-    hot = F.broadcast(hot) if hot.count() <= MAX_BROADCAST_ROWS else hot
     place = F.xxhash64("id", "html")
     part = F.pmod(place, F.coalesce("parts", F.lit(1))).alias("part")
-    dealt = rows.join(hot, "host", "left").select("host", part, place.alias("place"), "id", "url", "html")
+    dealt = rows.join(small(hot), "host", "left").select("host", part, place.alias("place"), "id", "url", "html")
     ordered = dealt.repartition("host", "part").sortWithinPartitions("host", "part", "place")
     kinds = dict(ordered.dtypes)
 
