@@ -148,4 +148,47 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM stored
 """
 
-EXPECTED = {"op1_mixing": OP1, "op4_warc": OP4, "op6_decontamination": OP6}
+OP8 = rf"""
+WITH split AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
+  FROM documents
+),
+lines AS (
+  SELECT doc_id, line_no, list_sort(list_distinct({WORDS.format("lower(line)")})) AS words
+  FROM split WHERE len({WORDS.format("line")}) > 0
+),
+sets AS (
+  SELECT words, min((doc_id, line_no)) AS first, len(words) AS n, row_number() OVER () AS set
+  FROM lines GROUP BY words
+),
+tokens AS (SELECT set, n, unnest(words) AS token FROM sets),
+counts AS (SELECT token, count(*) AS held FROM tokens GROUP BY token),
+ranked AS (
+  SELECT set, n, token, row_number() OVER (PARTITION BY set ORDER BY held, token) AS place
+  FROM tokens JOIN counts USING (token)
+),
+prefixes AS (SELECT set, n, token FROM ranked WHERE place <= n - ceil(n * 4 / 5) + 1),
+pairs AS (
+  SELECT DISTINCT a.set AS x, b.set AS y
+  FROM prefixes a JOIN prefixes b ON a.token = b.token AND a.set < b.set
+   AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n
+),
+matches AS (
+  SELECT a.first AS first_x, b.first AS first_y, x, y
+  FROM pairs JOIN sets a ON a.set = x JOIN sets b ON b.set = y
+  WHERE 9 * len(list_intersect(a.words, b.words)) >= 4 * (a.n + b.n)
+),
+gone AS (SELECT DISTINCT CASE WHEN first_x < first_y THEN y ELSE x END AS set FROM matches),
+kept AS (SELECT first[1] AS doc_id, first[2] AS line_no FROM sets WHERE set NOT IN (SELECT set FROM gone)),
+per_document AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(line_no::VARCHAR, ',' ORDER BY line_no) AS numbers
+  FROM kept GROUP BY doc_id
+),
+line_counts AS (SELECT doc_id, count(*) AS n_lines FROM lines GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_kept, 0) AS n_kept,
+       md5(coalesce(numbers, '')) AS kept_md5
+FROM documents LEFT JOIN line_counts USING (doc_id) LEFT JOIN per_document USING (doc_id)
+"""
+
+EXPECTED = {"op1_mixing": OP1, "op4_warc": OP4, "op6_decontamination": OP6, "op8_line_join": OP8}

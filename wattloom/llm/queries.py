@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontamination, line_crf, mixing, shingle_join, token_store, toxicity, warc, wrapper
+from wattloom.llm import decontamination, line_crf, line_join, mixing, shingle_join, token_store, toxicity, warc, wrapper
 from wattloom.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, machine).select("doc_id", held_out, "score", "predicted")
 
 
+def op8_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_join.line_counts(table(spark, sf_dir, "documents"))
+
+
 def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = line_crf.train(docs, table(spark, sf_dir, "labels"))
@@ -74,6 +78,7 @@ QUERIES = {
     "op5_wrapper": op5_wrapper,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
+    "op8_line_join": op8_line_join,
     "op9_line_crf": op9_line_crf,
     "op10_shingle_join": op10_shingle_join,
 }
