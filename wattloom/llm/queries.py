@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontamination, line_crf, line_join, mixing, shingle_join, token_store, toxicity, warc, wrapper
+from wattloom.llm import decontamination, gru_lm, line_crf, line_join, mixing, shingle_join, token_store, toxicity, warc, wrapper
 from wattloom.llm.common import table
 
 
+def remainder(id: str, by: int) -> Column:
+    """crc32 of the id as text, modulo."""
+    return F.crc32(F.coalesce(F.col(id).cast("string"), F.lit(""))) % by
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
@@ -27,6 +32,15 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(token_store.write_store(docs, tokenizer_path(), END_ID))
 
 
+def op3_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = gru_lm.train(docs, usable=remainder("doc_id", 7) != 2)
+    held_out = (remainder("doc_id", 7) == 2).alias("held_out")
+    return gru_lm.score(docs, model).select(
+        "doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages have no time of capture; one second per page id stands for it."""
     captured = F.timestamp_seconds(F.lit(1_600_000_000) + F.col("page_id"))
@@ -45,11 +59,6 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def remainder(id: str, by: int) -> Column:
-    """crc32 of the id as text, modulo."""
-    return F.crc32(F.coalesce(F.col(id).cast("string"), F.lit(""))) % by
-
-
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
     machine = toxicity.train(docs, labels, usable=remainder("doc_id", 4) != 2)
@@ -74,6 +83,7 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_token_store": op2_token_store,
+    "op3_gru_lm": op3_gru_lm,
     "op4_warc": op4_warc,
     "op5_wrapper": op5_wrapper,
     "op6_decontamination": op6_decontamination,
