@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = " \t\n\v\f\r"
@@ -244,9 +245,17 @@ def train(
     return fit(chains)
 
 
-VERDICT = (
-    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
-    " base_failed boolean, kept boolean, n_lines long, content_share double"
+VERDICT = T.StructType(
+    [
+        *[
+            T.StructField(name, T.LongType())
+            for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+        ],
+        T.StructField("base_failed", T.BooleanType()),
+        T.StructField("kept", T.BooleanType()),
+        T.StructField("n_lines", T.LongType()),
+        T.StructField("content_share", T.DoubleType()),
+    ]
 )
 
 
@@ -278,8 +287,7 @@ def assess(
     rows = docs.select(
         F.col(text).alias("text"), *[F.col(f"`{c}`").alias(n) for c, n in zip(passed, names, strict=True)]
     )
-    counts = [field.split()[0] for field in VERDICT.split(", ")]
-    counts = [c for part in counts for c in part.split()]
+    counts = VERDICT.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,7 +304,7 @@ def assess(
                 [*names, *counts],
             )
 
-    schema = ", ".join([*[f"{n} {t}" for n, t in rows.dtypes[1:]], VERDICT])
+    schema = T.StructType([*rows.schema.fields[1:], *VERDICT.fields])
     made = rows.mapInArrow(run, schema)
     return made.select(*[F.col(n).alias(c) for c, n in zip(passed, names, strict=True)], *counts)
 
