@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.fixtures import no_documents, odd_documents
+from wattloom.llm import toxicity
+
+
+def corpus(n=1200, seed=3):
+    """A text is toxic if it holds an insult, or both of two harmless words: a pair, which no
+    additive score of single words tells from one word written twice."""
+    draw = random.Random(seed)
+    rows = []
+    for i in range(n):
+        words = [f"w{draw.randrange(200)}" for _ in range(draw.randrange(5, 60))]
+        kind = draw.randrange(8)
+        if kind == 0:
+            words.insert(draw.randrange(len(words)), draw.choice(["insultxyz", "Insultabc!", "scumbag"]))
+        if kind in (1, 2):
+            words.insert(draw.randrange(len(words)), "you")
+        if kind in (2, 3):
+            words.insert(draw.randrange(len(words)), "people")
+        rows.append((i, " ".join(words), int(kind in (0, 2))))
+    return rows
+
+
+def test_held_out_accuracy(spark):
+    rows = corpus()
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    machine = toxicity.train(docs, labels, usable=F.col("doc_id") % 4 != 2)
+    found = {r.doc_id: r for r in toxicity.scored(docs, machine).collect()}
+    held = [r for r in rows if r[0] % 4 == 2]
+    toxic = np.mean([found[i].predicted for i, _, y in held if y])
+    clean = np.mean([found[i].predicted for i, _, y in held if not y])
+    assert toxic > 0.9 and clean < 0.05
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= toxicity.THRESHOLD) for r in found.values())
+    again = toxicity.scored(docs, toxicity.train(docs.repartition(5), labels.repartition(3), usable=F.col("doc_id") % 4 != 2))
+    assert {r.doc_id: r.score for r in again.collect()} == pytest.approx({i: r.score for i, r in found.items()})
+
+
+def test_scores_equal_the_sum_over_pairs():
+    random = np.random.default_rng(1)
+    machine = toxicity.Machine(0.3, random.normal(size=toxicity.BUCKETS), random.normal(size=(toxicity.BUCKETS, toxicity.FACTORS)))
+    documents = [np.array([5, 9, 77]), np.array([], dtype=int), np.array([1, 2, 3, 4])]
+    raw, _ = toxicity.raw_scores(machine, np.concatenate(documents).astype(int), np.array([len(d) for d in documents]))
+    for score, d in zip(raw, documents, strict=True):
+        pairs = sum(machine.factors[a] @ machine.factors[b] for k, a in enumerate(d) for b in d[:k])
+        assert score == pytest.approx(0.3 + machine.weights[d].sum() + pairs)
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    labels = spark.createDataFrame(
+        [(10, 1), (12, 0), (None, 1), (17, None), (18, 0), (10, 1), (9999, 1)], "doc_id long, toxic int"
+    )
+    for usable in (F.lit(True), F.lit(False), F.col("toxic") == 0):
+        found = toxicity.scored(docs, toxicity.train(docs, labels, usable)).collect()
+        assert len(found) == docs.count()
+        empty = {r.score for r in found if r.doc_id in (13, 14, 15)}
+        assert len(empty) == 1 and empty.pop() < 0.5
+    machine = toxicity.train(no_documents(spark), labels.limit(0), F.lit(True))
+    assert toxicity.scored(no_documents(spark), machine).collect() == []
