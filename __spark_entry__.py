@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import os
 import sys
-import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,7 +19,7 @@ from pyspark.sql import types as T  # noqa: E402
 from wattloom.functions.naming import named  # noqa: E402
 from wattloom.operators import clustering, prep, profiles, ranking, runs, summary  # noqa: E402
 from wattloom.plans import families, sql_text  # noqa: E402
-from wattloom.session import shared_dir, ship_package, use_utc  # noqa: E402
+from wattloom.session import fresh_folder, shared_dir, ship_package, use_utc  # noqa: E402
 from wattloom.sinks import files  # noqa: E402
 from wattloom.sources import scans, tables  # noqa: E402
 from wattloom.sources.tables import MEANS, METRICS  # noqa: E402
@@ -43,15 +42,14 @@ def rounded(df: DataFrame) -> DataFrame:
     )
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 # --- readings -------------------------------------------------------------------------------
 
 
 def prep_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = tables.event_readings(spark, sf_dir)
+    """The raw layout, two folder levels deep, and the cleaning of what is read from it."""
+    root = fresh_folder(spark, "raw")
+    tables.table(spark, sf_dir, "events").write.parquet(f"{root}/zone/events")
+    readings = tables.event_readings_of(scans.read_raw(spark, root, tables.SCHEMAS["events"]))
     return readings.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
 
 
@@ -59,14 +57,21 @@ def drop_if_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.drop_if_exists(tables.table(spark, sf_dir, "events"), ("props", "Zone_name"))
 
 
+def partitioned(spark: SparkSession, readings: DataFrame) -> DataFrame:
+    """Readings written by entity and read back from the root, so that entities prune folders."""
+    path = fresh_folder(spark, "readings")
+    files.write_readings(readings, path, "entity")
+    return scans.read_readings(spark, path, readings.schema).select(*readings.columns)
+
+
 def scan_entity_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = tables.shipment_readings(spark, sf_dir)
+    readings = partitioned(spark, tables.shipment_readings(spark, sf_dir))
     subset = scans.entity_subset(readings, "entity", ("A", "R"))
     return subset.select("entity", "year", "month", "m1", "m2")
 
 
 def scan_single_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = tables.shipment_readings(spark, sf_dir)
+    readings = partitioned(spark, tables.shipment_readings(spark, sf_dir))
     return scans.single_entity(readings, "entity", "R").select("entity", "year", "month", "m1", "m2")
 
 
@@ -85,11 +90,7 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = tables.event_readings(spark, sf_dir)
-    path = fresh_path(spark, "readings")
-    files.write_readings(readings, path, "entity")
-    back = scans.read_readings(spark, path, readings.schema)
-    back = back.select(*readings.columns)
+    back = partitioned(spark, tables.event_readings(spark, sf_dir))
     return back.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
 
 
@@ -107,7 +108,7 @@ def annual_stats_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = annual_stats(spark, sf_dir)
-    path = fresh_path(spark, "annual")
+    path = fresh_folder(spark, "annual")
     files.write_result(stats, path, order_by=("entity", "date"))
     return scans.read_result(spark, path, stats.schema)
 
@@ -203,23 +204,36 @@ def silhouette_given_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(clustering.silhouette_of(given_clusters(features)))
 
 
-def wcss_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sweep = clustering.k_sweep(feature_rows(year_means(spark, sf_dir)), with_silhouette=False)
-    return sweep.curve.select("k", F.col("wcss").alias("score"))
+def scored_sweep(score: str) -> Query:
+    """Every k of the sweep, and whether its score is the one that its labels give, to 1e-6.
+
+    The scores themselves depend on the seed; SQL can state this. The cost of a fit is that of its
+    last labels and the centres before them, so it is compared with a tolerance.
+    """
 
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        features = feature_rows(year_means(spark, sf_dir))
+        sweep = clustering.k_sweep(features, with_silhouette=score == "silhouette")
+        again = clustering.recomputed(sweep, features, "m1_mean")
+        fitted = sweep.curve.select("k", F.col(score).alias("score"), F.lit(True).alias("fitted"))
+        anew = again.select("k", F.col(score).alias("score"), F.lit(False).alias("fitted"))
+        both = fitted.union(anew).groupBy("k").agg(
+            (F.max("score") - F.min("score")).alias("gap"), F.max(F.abs("score")).alias("size")
+        )
+        return both.select("k", (F.col("gap") <= 1e-6 * (1 + F.col("size"))).alias("agrees"))
 
-def silhouette_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sweep = clustering.k_sweep(feature_rows(year_means(spark, sf_dir)))
-    return sweep.curve.select("k", F.col("silhouette").alias("score"))
+    return query
 
 
 def cluster_assignments(method: str) -> Query:
-    """Sweep, choice of k, final clustering."""
+    """Sweep, choice of k, final clustering: every entity, its value, and whether its cluster is the
+    one of the nearest mean. The labels depend on the seed; SQL can state this."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         features = feature_rows(year_means(spark, sf_dir))
         clusters, _ = clustering.cluster_by_choice(features, "entity", "m1_mean", method)
-        return clusters
+        nearest = clustering.is_nearest(clusters, "m1_mean")
+        return rounded(nearest.select("entity", "m1_mean", "nearest"))
 
     return query
 
@@ -283,7 +297,7 @@ def run_time_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean per (query, variant, executors), logged as nested CSV files and read back."""
     stats = runs.run_time_stats(tables.shipment_runs(spark, sf_dir))
-    root = fresh_path(spark, "runs")
+    root = fresh_folder(spark, "runs")
     files.write_run_log(runs.run_log_rows(stats), root)
     return scans.read_run_log(spark, root)
 
@@ -321,8 +335,8 @@ REGISTERED: dict[str, Query] = {
     "nearest_center_assign": nearest_center_assign,
     "wcss_given_labels": wcss_given_labels,
     "silhouette_given_labels": silhouette_given_labels,
-    "wcss_sweep": wcss_sweep,
-    "silhouette_sweep": silhouette_sweep,
+    "wcss_sweep": scored_sweep("wcss"),
+    "silhouette_sweep": scored_sweep("silhouette"),
     "elbow_select": elbow_select,
     "silhouette_select": silhouette_select,
     "cluster_assignments": cluster_assignments("elbow"),

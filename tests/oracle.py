@@ -45,7 +45,7 @@ def differences(df, connection, sql) -> list[str]:
             break
     kinds = dict(zip(names, (str(d[1]) for d in connection.execute(f"DESCRIBE {sql}").fetchall())))
     spark_kinds = {
-        "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+        "boolean": "BOOLEAN", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
         "timestamp_ntz": "TIMESTAMP",
     }
     for name, kind in df.dtypes:

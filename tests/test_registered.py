@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from tests.brute import elbow, least_wcss, silhouette, wcss
+from wattloom.operators import clustering
 from wattloom.sources.tables import SCHEMAS, table
 
-QUERIES = entry_points.queries()
+QUERIES = {n: entry_points.in_utc(q) for n, q in entry_points.REGISTERED.items()}
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -19,33 +20,43 @@ def means(spark):
     return {r.entity: r.m1_mean for r in rows}
 
 
-def labels_of(spark, name, means):
-    rows = {r.entity: r for r in QUERIES[name](spark, SMALL).collect()}
+@pytest.fixture(scope="module")
+def features(spark):
+    return entry_points.feature_rows(entry_points.year_means(spark, SMALL))
+
+
+def scores_of(features, score):
+    sweep = clustering.k_sweep(features, with_silhouette=score == "silhouette")
+    return [(r.k, r[score]) for r in sweep.curve.collect()]
+
+
+def labels_of(features, method, means):
+    found, _ = clustering.cluster_by_choice(features, "entity", "m1_mean", method)
+    rows = {r.entity: r for r in found.collect()}
     assert {e: pytest.approx(r.m1_mean) for e, r in rows.items()} == means
     return [rows[e].cluster for e in means]
 
 
-def test_sweeps_score_every_k(spark, means):
+def test_sweeps_score_every_k(features, means):
     values = list(means.values())
-    costs = {r.k: r.score for r in QUERIES["wcss_sweep"](spark, SMALL).collect()}
-    scores = {r.k: r.score for r in QUERIES["silhouette_sweep"](spark, SMALL).collect()}
+    costs, scores = (dict(scores_of(features, s)) for s in ("wcss", "silhouette"))
     assert sorted(costs) == sorted(scores) == list(range(2, min(15, len(values)) + 1))
     for k, cost in costs.items():
         assert cost >= least_wcss(values, k) - 1e-9
         assert -1 <= scores[k] <= 1
 
 
-def test_elbow_clusters(spark, means):
-    costs = [tuple(r) for r in QUERIES["wcss_sweep"](spark, SMALL).collect()]
-    labels = labels_of(spark, "cluster_assignments", means)
+def test_elbow_clusters(features, means):
+    costs = scores_of(features, "wcss")
+    labels = labels_of(features, "elbow", means)
     k = len(set(labels))
     assert k == elbow(costs)
     assert wcss(list(means.values()), labels) == pytest.approx(dict(costs)[k])
 
 
-def test_silhouette_clusters(spark, means):
-    scores = [tuple(r) for r in QUERIES["silhouette_sweep"](spark, SMALL).collect()]
-    labels = labels_of(spark, "cluster_assignments_silhouette", means)
+def test_silhouette_clusters(features, means):
+    scores = scores_of(features, "silhouette")
+    labels = labels_of(features, "silhouette", means)
     k, best = max(scores, key=lambda p: (p[1], -p[0]))
     assert len(set(labels)) == k
     assert silhouette(list(means.values()), labels) == pytest.approx(best, abs=1e-6)

@@ -7,7 +7,8 @@ Run with ``spark-submit`` or ``python -m wattloom.jobs``:
     clusters --readings ROOT --results ROOT --method elbow|silhouette [--year 2024] [--seeds 1 2]
     publish  --results ROOT --pairs ROOT [--runs ROOT]
 
-A question job prints what it wrote with ``--show ROWS``.
+A job prints what it wrote with ``--show ROWS``. A question job logs its own run time under
+``--runs ROOT``, which ``publish --runs ROOT`` reads, and takes ``--form sql`` for its SQL text.
 
 Readings, results and pairs have a root each, so none is overwritten with another. A result that
 feeds a second one is read back from where it was written, so the readings are scanned once.
@@ -17,13 +18,15 @@ from __future__ import annotations
 
 import argparse
 import logging
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wattloom.operators import profiles, runs
 from wattloom.plans import families, questions
 from wattloom.session import build_session
-from wattloom.sinks.files import show, write_readings, write_result
+from wattloom.sinks.files import show, write_readings, write_result, write_run_log
 from wattloom.sources import electricity as names
 from wattloom.sources.scans import read_raw, read_readings, read_result, read_run_log
 
@@ -41,24 +44,37 @@ def load(spark: SparkSession, readings: str) -> DataFrame:
     return read_readings(spark, readings, names.READINGS_SCHEMA)
 
 
-def annual(spark: SparkSession, readings: str, results: str) -> None:
-    stats = questions.annual(load(spark, readings))
+def prep_report(spark: SparkSession, readings: str, rows: int) -> None:
+    """Schema, first rows, number of rows and rows per country, of the written readings."""
+    written = load(spark, readings)
+    show(written, rows)
+    show(profiles.row_count(written), 1)
+    show(profiles.rows_per_entity(written, "country").orderBy("country"), rows)
+
+
+def annual(spark: SparkSession, readings: str, results: str, form: str = "df") -> None:
+    question = questions.annual_sql if form == "sql" else questions.annual
+    stats = question(load(spark, readings))
     write_result(stats, f"{results}/annual", order_by=("country_code", "date"))
 
 
-def monthly(spark: SparkSession, readings: str, results: str) -> None:
+def monthly(spark: SparkSession, readings: str, results: str, form: str = "df") -> None:
     means = questions.monthly(load(spark, readings))
     write_result(means, f"{results}/monthly_means", order_by=("date",))
     written = read_result(spark, f"{results}/monthly_means", questions.MONTHLY_SCHEMA)
     ranks = questions.monthly_ranks(written)
+    if form == "sql":
+        ranks = questions.monthly_ranks_sql(load(spark, readings))
     write_result(ranks, f"{results}/monthly_ranks", order_by=("rank_type", "rank_num"))
 
 
-def hourly(spark: SparkSession, readings: str, results: str) -> None:
+def hourly(spark: SparkSession, readings: str, results: str, form: str = "df") -> None:
     profile = questions.hourly(load(spark, readings))
     write_result(profile, f"{results}/hourly_profile", order_by=("country_code", "hour"))
     written = read_result(spark, f"{results}/hourly_profile", questions.HOURLY_SCHEMA)
     stats = questions.hourly_stats(written)
+    if form == "sql":
+        stats = questions.hourly_stats_sql(load(spark, readings))
     write_result(stats, f"{results}/hourly_stats", order_by=("data", "country_code"))
 
 
@@ -77,8 +93,15 @@ def clusters(
     write_result(curve, f"{results}/curve_{method}", order_by=("k",))
 
 
+def log_run(spark: SparkSession, root: str, job: str, form: str, seconds: float) -> None:
+    """Log one run; a rerun of the same job, form and number of executors replaces it."""
+    executors = int(spark.conf.get("spark.executor.instances", "1"))
+    run = runs.measured_runs(spark, job, form, executors, [seconds])
+    write_run_log(runs.run_log_rows(runs.run_time_stats(run)), root)
+
+
 def result_pairs(
-    spark: SparkSession, results: str, runs: str | None = None
+    spark: SparkSession, results: str, run_log: str | None = None
 ) -> dict[str, Callable[[], DataFrame]]:
     """The published pairs of each result folder, and of the run log if its root is given."""
 
@@ -110,8 +133,8 @@ def result_pairs(
         pairs[f"curve_{method}"] = lambda method=method: families.kv_curve(
             read(f"curve_{method}", questions.CURVE_SCHEMAS[method]), method
         )
-    if runs:
-        pairs["runs"] = lambda: families.kv_run_times(read_run_log(spark, runs))
+    if run_log:
+        pairs["runs"] = lambda: families.kv_run_times(read_run_log(spark, run_log))
     return pairs
 
 
@@ -119,14 +142,14 @@ def publish(
     spark: SparkSession,
     results: str,
     send: Callable[[str, DataFrame], None],
-    runs: str | None = None,
+    run_log: str | None = None,
 ) -> list[str]:
     """Send the pairs of every result; one that fails is logged and does not stop the others.
 
     Returns the names of those that failed.
     """
     failed = []
-    for name, pairs in result_pairs(spark, results, runs).items():
+    for name, pairs in result_pairs(spark, results, run_log).items():
         try:
             send(name, pairs())
         except Exception:
@@ -176,22 +199,29 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--method", choices=METHODS, default="elbow")
     parser.add_argument("--year", type=int, default=names.CLUSTER_YEAR)
     parser.add_argument("--seeds", type=int, nargs="+", default=[1])
+    parser.add_argument("--form", choices=("df", "sql"), default="df")
     parser.add_argument("--show", type=int, default=0, metavar="ROWS")
     options = parser.parse_args(arguments)
     spark = build_session(f"wattloom-{options.job}")
     if options.job == "prep":
         prep(spark, options.raw, options.readings)
+        if options.show:
+            prep_report(spark, options.readings, options.show)
     elif options.job == "publish":
         failed = publish(spark, options.results, write_pairs(options.pairs), options.runs)
         if failed:
             raise SystemExit(f"not published: {', '.join(failed)}")
     else:
+        form = options.method if options.job == "clusters" else options.form
+        began = time.perf_counter()
         if options.job == "clusters":
             where = (options.readings, options.results)
             clusters(spark, *where, options.method, options.year, options.seeds)
         else:
             job = {"annual": annual, "monthly": monthly, "hourly": hourly}[options.job]
-            job(spark, options.readings, options.results)
+            job(spark, options.readings, options.results, options.form)
+        if options.runs:
+            log_run(spark, options.runs, options.job, form, time.perf_counter() - began)
         if options.show:
             for name, schema in written(options.job, options.method).items():
                 show(read_result(spark, f"{options.results}/{name}", schema), options.show)

@@ -6,7 +6,6 @@ curves of at most ``k_max`` points. The feature table has one row per entity and
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
@@ -21,13 +20,16 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.distance import chord_distance, nearest_center
 from wattloom.functions.naming import named
+from wattloom.operators.ranking import ranks
 from wattloom.session import shared_dir
 
-log = logging.getLogger(__name__)
-
 CURVE = "k int, wcss double, silhouette double"
 DEFAULT_K = 2
 
+#: Parts of a feature table, and fits of a sweep that run at the same time.
+LAYOUT = 8
+PARALLELISM = 4
+
 
 def feature_vectors(df: DataFrame, value: str) -> DataFrame:
     """Add a one-column vector ``features``; rows with an invalid value are skipped."""
@@ -40,15 +42,19 @@ def flat_features(features: DataFrame) -> DataFrame:
     return features.withColumn("features", vector_to_array("features")[0])
 
 
-def feature_table(means: DataFrame, entity: str, value: str) -> DataFrame:
-    """The feature rows, written to the shared folder in the order of the entity.
+def feature_table(
+    means: DataFrame, entity: str, value: str, layout: int = LAYOUT
+) -> DataFrame:
+    """The feature rows, written to the shared folder in ``layout`` parts, ordered by entity.
 
     Every fit iterates over this table, so its lineage ends here: losing an executor re-reads
-    these rows and not the readings. A fixed order makes a seeded fit repeatable; the aggregate
-    has partitioned the rows by entity already, so ordering them moves none.
+    these rows and not the readings. A seeded fit draws per part, so its result depends on the
+    parts. Their number is part of the question, like the seed: it follows neither cores nor shuffle
+    settings nor the size of the data. For a large table hand over a larger one.
     """
     shared_dir(means.sparkSession)
-    return feature_vectors(means.sortWithinPartitions(entity), value).checkpoint()
+    parts = means.repartition(layout, entity).sortWithinPartitions(entity)
+    return feature_vectors(parts, value).checkpoint()
 
 
 def cluster_range(features: DataFrame, k_max: int = 15) -> range:
@@ -77,51 +83,46 @@ def silhouette(clustered: DataFrame) -> float:
 
 
 class Sweep(NamedTuple):
-    """The fitted model per k, and one row (k, wcss, silhouette) per k; NULL where a step failed."""
+    """The fitted model per k, and one row (k, wcss, silhouette) per k; equal points, which make
+    one cluster only, have no silhouette."""
 
     models: dict[int, KMeansModel]
     curve: DataFrame
 
 
-def fits_at_once(features: DataFrame) -> int:
-    """Many for a small table, whose fits wait for the driver more than they compute; four for a
-    table that fills the cores, so that one fit computes while another waits."""
-    cores = features.sparkSession.sparkContext.defaultParallelism
-    return max(4, 2 * cores // max(1, features.rdd.getNumPartitions()))
-
-
 def k_sweep(
     features: DataFrame,
     k_max: int = 15,
     seeds: Sequence[int] = (1,),
     with_silhouette: bool = True,
-    parallelism: int | None = None,
+    parallelism: int = PARALLELISM,
 ) -> Sweep:
     """Fit and score every k in ``cluster_range``.
 
     The fits are independent, so ``parallelism`` of them run at the same time, as in Spark's own
     tuning. Each reads the feature table once and keeps its rows in the form the fit needs, in
-    memory or on disk, until it is done; that beats sharing one cached copy of the table.
+    memory or on disk, until it is done: as many copies as ``parallelism`` at most. A step that
+    fails ends the sweep with an error that names its k.
     """
     spark = features.sparkSession
     models: dict[int, KMeansModel] = {}
 
     def score(k: int) -> tuple[int, float | None, float | None]:
-        wcss = quality = None
+        quality = None
         try:
             model = models[k] = fit_kmeans(features, k, seeds)
             wcss = float(model.summary.trainingCost)
             # Equal points can leave one cluster, for which the silhouette is not defined.
             if with_silhouette and len(model.clusterCenters()) > 1:
                 quality = float(silhouette(model.transform(features)))
-        except Exception:
-            log.warning("k=%d could not be scored", k, exc_info=True)
+        except Exception as error:
+            raise RuntimeError(f"k={k} could not be fitted and scored") from error
         return k, wcss, quality
 
     ks = list(cluster_range(features, k_max))
     if not ks:
         return Sweep(models, spark.createDataFrame([], CURVE))
-    with ThreadPool(min(parallelism or fits_at_once(features), len(ks))) as pool:
+    with ThreadPool(min(parallelism, len(ks))) as pool:
         curve = pool.map(inheritable_thread_target(spark)(score), ks)
     return Sweep(models, spark.createDataFrame(curve, CURVE))
 
@@ -132,7 +133,7 @@ def elbow_select(curve: DataFrame, k: str = "k", score: str = "wcss") -> DataFra
     No point gives 2, one point its k, two points the larger k; a tie goes to the smallest k.
     The curve is read twice (ends, then distances), so hand over one that is cheap to read.
     """
-    points = curve.where(named(score).isNotNull())
+    points = curve.where(ranks(curve, score))
     x, y = named(k), named(score)
     ends = points.agg(
         F.min(x).alias("x1"),
@@ -148,10 +149,11 @@ def elbow_select(curve: DataFrame, k: str = "k", score: str = "wcss") -> DataFra
 
 
 def silhouette_select(curve: DataFrame, k: str = "k", score: str = "silhouette") -> DataFrame:
-    """One row ``k``: the highest score, the smallest k on ties, 2 if there is no score."""
+    """One row ``k``: the highest score, the smallest k on ties, 2 if there is no score. NULL and
+    NaN do not rank."""
     x, y = named(k), named(score)
     best = F.max_by(x, F.struct(y, -x))
-    return curve.where(y.isNotNull()).agg(
+    return curve.where(ranks(curve, score)).agg(
         F.coalesce(best, F.lit(DEFAULT_K)).cast("int").alias("k")
     )
 
@@ -184,6 +186,28 @@ def cluster_entities(
     return assign_clusters(features, entity, value, fit_kmeans(features, k, seeds))
 
 
+def is_nearest(clustered: DataFrame, value: str) -> DataFrame:
+    """Add ``nearest``: whether no other cluster's mean is nearer than the own one's (to 1e-9)."""
+    means = clustered.groupBy("cluster").agg(F.avg(named(value)).alias("mean"))
+    # As many means as there are clusters.
+    every = means.agg(F.map_from_entries(F.collect_list(F.struct("cluster", "mean")))).scalar()
+    rows = clustered.withColumn("_means", every)
+    gaps = F.transform(F.map_values("_means"), lambda m: F.abs(named(value) - m))
+    own = F.abs(named(value) - F.col("_means")[F.col("cluster")])
+    near = own <= F.array_min(gaps) + 1e-9 * (1 + F.abs(named(value)))
+    return rows.select(*[named(c) for c in clustered.columns], near.alias("nearest"))
+
+
+def recomputed(sweep: Sweep, features: DataFrame, value: str) -> DataFrame:
+    """Rows (k, wcss, silhouette) of the sweep's labels, scored anew."""
+    rows = []
+    for k, model in sorted(sweep.models.items()):
+        labelled = model.transform(features)
+        cost, quality = wcss_of(labelled, value).first().score, silhouette_of(labelled).first().score
+        rows.append((k, cost, quality))
+    return features.sparkSession.createDataFrame(rows, CURVE)
+
+
 def cluster_by_choice(
     features: DataFrame, entity: str, value: str, method: str, seeds: Sequence[int] = (1,)
 ) -> tuple[DataFrame, DataFrame]:
@@ -221,7 +245,7 @@ def silhouette_of(clustered: DataFrame) -> DataFrame:
     """One row (k, score): clusters and mean silhouette; score NULL below two clusters.
 
     Needs ``features`` and ``cluster``; the input is read three times, so hand over a feature
-    table.
+    table. The driver sees sums per cluster, so the number of labels has to fit there.
     """
     k = clustered.agg(F.count_distinct("cluster")).first()[0]
     score = silhouette(clustered) if k > 1 else None

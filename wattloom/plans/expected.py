@@ -147,6 +147,11 @@ def expected_sql(centers: Sequence[float], year: int) -> dict[str, str]:
   FROM ({means_exact})
 """
     labels = f"SELECT entity, round(m1_mean, 6) AS m1_mean, cluster FROM ({labels_exact})"
+    every_entity = f"SELECT entity, m1_mean, true AS nearest FROM ({means})"
+    every_k = f"""
+  SELECT CAST(unnest(range(2, least(15, (SELECT count(*) FROM ({means}) WHERE m1_mean IS NOT NULL)) + 1))
+              AS INTEGER) AS k, true AS agrees
+"""
     wcss = f"""
   WITH labelled AS ({labels_exact}),
   centroids AS (SELECT cluster, avg(m1_mean) AS c FROM labelled GROUP BY cluster)
@@ -208,6 +213,10 @@ def expected_sql(centers: Sequence[float], year: int) -> dict[str, str]:
         "entity_year_mean": means,
         "kmeans_features": means,
         "nearest_center_assign": labels,
+        "wcss_sweep": every_k,
+        "silhouette_sweep": every_k,
+        "cluster_assignments": every_entity,
+        "cluster_assignments_silhouette": every_entity,
         "wcss_given_labels": wcss,
         "silhouette_given_labels": silhouette,
         "elbow_select": ELBOW,

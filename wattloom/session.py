@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -27,6 +28,7 @@ def build_session(app_name: str = "wattloom") -> SparkSession:
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
+    """Set the session's zone, for good: hour() and the like follow it."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
@@ -39,8 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured and context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured)
+    if configured and getattr(context, "_wattloom_dir", None) != configured:
+        context.setCheckpointDir(configured)  # checkpoints and written tables go to one folder
+        context._wattloom_dir = configured
     if configured or context.getCheckpointDir():
         return configured or context.getCheckpointDir()
     if not context.master.startswith("local"):
@@ -49,6 +52,14 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared folder; it is deleted when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
 def ship_package(spark: SparkSession) -> SparkSession:
     """Send this package to the executors' Python, once per context, for functions that run there.
 

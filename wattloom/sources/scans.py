@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_raw(spark: SparkSession, root: str) -> DataFrame:
-    """Raw parquet files two directory levels below the root."""
-    return spark.read.parquet(f"{root}/*/*/*.parquet")
+def read_raw(spark: SparkSession, root: str, schema=None) -> DataFrame:
+    """Raw parquet files two directory levels below the root. Without a schema, that of one
+    footer holds for all."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{root}/*/*/*.parquet")
 
 
 def read_readings(spark: SparkSession, root: str, schema: str) -> DataFrame:
@@ -27,9 +29,13 @@ def single_entity(readings: DataFrame, entity: str, value: str) -> DataFrame:
     return readings.where(F.col(entity) == value)
 
 
+# Columns are taken by position, so the header is compared with the schema.
+CHECKED = {"header": True, "enforceSchema": False, "mode": "FAILFAST"}
+
+
 def read_result(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A result CSV with header and known schema."""
-    return spark.read.schema(schema).csv(path, header=True)
+    """A result CSV with header and known schema; another header or a malformed value is an error."""
+    return spark.read.schema(schema).options(**CHECKED).csv(path)
 
 
 RUNS_SCHEMA = (
@@ -42,6 +48,7 @@ def read_run_log(spark: SparkSession, root: str) -> DataFrame:
     return (
         spark.read.schema(RUNS_SCHEMA)
         .option("basePath", root)
-        .csv(f"{root}/*/*/*/*.csv", header=True)
+        .options(**CHECKED)
+        .csv(f"{root}/*/*/*/*.csv")
         .select("query_name", "query_type", "avg_execution_time_seconds", "num_executors")
     )

@@ -43,7 +43,10 @@ def shipment_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    return event_readings_of(table(spark, sf_dir, "events"))
+
+
+def event_readings_of(events: DataFrame) -> DataFrame:
     return prep_readings(
         events.withColumn("k", F.get_json_object("props", "$.k")),
         time="ts",
