@@ -7,21 +7,13 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.session import shared_dir
+from wattloom.session import fresh_folder
 
 #: A word is a run of characters other than ASCII white space; bytes.split() cuts the same way.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
-def fresh_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared folder; it is deleted when the driver's JVM ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
-
-
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write and reread: the lineage ends here, and what an executor held may be lost."""
     path = fresh_folder(df.sparkSession, name)
