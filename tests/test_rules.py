@@ -1,0 +1,154 @@
+"""Rules that hold across operators: one for NaN, errors that stay errors, settings that do not
+change results, folders that go."""
+
+from __future__ import annotations
+
+import math
+import os
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from pyspark.sql import functions as F
+
+from wattloom import jobs, session
+from wattloom.operators import clustering, ranking
+from wattloom.plans import sql_text
+from wattloom.sinks import files
+from wattloom.sources import scans
+
+NAN = float("nan")
+VALUES = [("a", 3.0), ("b", NAN), ("c", None), ("d", -0.0), ("e", 0.0), ("f", 3.0), ("g", -1.0), ("h", 7.0)]
+
+
+def test_nan_and_null_do_not_rank_in_any_form(spark):
+    df = spark.createDataFrame(VALUES, "date string, value double")
+    highest, lowest = ["h", "a", "f", "d", "e"], ["g", "d", "e", "a", "f"]
+    top = [[r.date for r in ranking.top_n(df, "value", 5, way, "date").collect()] for way in (True, False)]
+    assert top == [highest, lowest]
+    both = ranking.two_way_ranking(df, {"m1": "value"}, 5, "date").orderBy("rank_type", "rank_num").collect()
+    assert [r.date for r in both] == lowest + highest
+
+
+def test_nan_does_not_rank_in_sql(spark):
+    months = spark.createDataFrame(
+        [("x", 2024, i + 1, v, v) for i, (_, v) in enumerate(VALUES)],
+        "entity string, year int, month int, m1 double, m2 double",
+    )
+    rows = sql_text.monthly_top_sql(months, 5).where("rank_type = 'm1_desc'").orderBy("rank_num").collect()
+    assert [r.date for r in rows] == ["2024_08", "2024_01", "2024_06", "2024_04", "2024_05"]
+
+
+def test_nan_scores_are_not_chosen(spark):
+    curve = spark.createDataFrame([(2, 0.5), (3, NAN), (4, 0.7), (5, None)], "k int, silhouette double")
+    assert clustering.silhouette_select(curve).first().k == 4
+    costs = spark.createDataFrame([(2, 9.0), (3, NAN), (4, 2.0), (5, 1.0)], "k int, wcss double")
+    assert clustering.elbow_select(costs).first().k == 4
+
+
+@pytest.fixture
+def means(spark):
+    return spark.range(200).select(
+        F.format_string("e%03d", "id").alias("entity"), ((F.col("id") * 37) % 101 * 1.5).alias("value")
+    )
+
+
+def test_clusters_do_not_depend_on_shuffle_settings(spark, means):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
+    before = {name: spark.conf.get(name) for name in names}
+    found = []
+    try:
+        for partitions, adaptive in (("4", "true"), ("64", "true"), ("16", "false")):
+            spark.conf.set(names[0], partitions)
+            spark.conf.set(names[1], adaptive)
+            features = clustering.feature_table(means.groupBy("entity").agg(F.avg("value").alias("value")), "entity", "value")
+            for method in ("elbow", "silhouette"):
+                clusters, curve = clustering.cluster_by_choice(features, "entity", "value", method)
+                found.append((method, sorted(map(tuple, clusters.collect())), sorted(map(tuple, curve.collect()))))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    for method, clusters, curve in found[2:]:
+        first = next(f for f in found if f[0] == method)
+        assert clusters == first[1]
+        assert [k for k, _ in curve] == [k for k, _ in first[2]]
+        assert [s for _, s in curve] == pytest.approx([s for _, s in first[2]], rel=1e-9)
+
+
+def test_a_failing_fit_is_an_error_with_its_k(spark, means, monkeypatch):
+    features = clustering.feature_table(means, "entity", "value")
+    real = clustering.fit_kmeans
+
+    def failing(features, k, seeds=(1,)):
+        if k == 7:
+            raise OSError("an executor is gone")
+        return real(features, k, seeds)
+
+    monkeypatch.setattr(clustering, "fit_kmeans", failing)
+    with pytest.raises(RuntimeError, match="k=7"):
+        clustering.cluster_by_choice(features, "entity", "value", "elbow")
+
+
+def test_swapped_or_missing_columns_and_bad_numbers_are_errors(spark, tmp_path):
+    schema = "carbon double, cfe double"
+    for i, text in enumerate(("cfe,carbon\n1,2\n", "carbon\n1\n", "carbon,cfe\n1,x\n")):
+        path = tmp_path / str(i)
+        path.mkdir()
+        (path / "part.csv").write_text(text)
+        with pytest.raises(Exception):  # noqa: B017
+            scans.read_result(spark, str(path), schema).collect()
+    files.write_result(spark.createDataFrame([], schema), str(tmp_path / "empty"))
+    assert scans.read_result(spark, str(tmp_path / "empty"), schema).isEmpty()
+
+
+def test_views_of_two_threads_do_not_meet(spark):
+    def rows(level):
+        readings = spark.createDataFrame([("x", 2024, level)] * 3, "entity string, year int, m1 double").withColumn("m2", F.col("m1"))
+        return sql_text.annual_stats_sql(readings).collect()[0].m1_mean
+
+    levels = [float(i) for i in range(12)]
+    with ThreadPoolExecutor(6) as pool:
+        assert list(pool.map(rows, levels)) == levels
+    assert not [t for t in spark.catalog.listTables() if t.isTemporary and t.name.startswith("wattloom_")]
+
+
+def test_folders_are_new_and_under_the_shared_one(spark):
+    first, second = (session.fresh_folder(spark, "x") for _ in range(2))
+    assert first != second and first.startswith(session.shared_dir(spark))
+
+
+def test_jobs_log_their_runs_and_prep_reports(spark, tmp_path, capfd):
+    raw, readings, results, runs = (str(tmp_path / n) for n in ("raw", "readings", "results", "runs"))
+    rows = [(f"2024-01-0{d} 0{h}:00:00", c, z, f"{d + h}", 1.0 * h) for d in (1, 2) for h in (1, 2, 3) for c, z in (("Italy", "IT"), ("Sweden", "SE"))]
+    spark.createDataFrame(
+        rows, "Datetime__UTC_ string, Country string, Zone_id string,"
+        " Carbon_intensity_gCO_eq_kWh__direct_ string, Carbon_free_energy_percentage__CFE__ double",
+    ).write.parquet(f"{raw}/zone/2024")
+    jobs.main(["prep", "--raw", raw, "--readings", readings, "--show", "5"])
+    printed = capfd.readouterr().out
+    assert "carbon_intensity: double" in printed and "Italy" in printed and "12" in printed
+    where = ["--readings", readings, "--results", results, "--runs", runs]
+    for _ in range(2):
+        jobs.main(["annual", *where])
+    plain = sorted(map(tuple, spark.read.csv(f"{results}/annual", header=True).collect()))
+    for job in ("annual", "monthly", "hourly"):
+        jobs.main([job, *where, "--form", "sql"])
+    assert sorted(map(tuple, spark.read.csv(f"{results}/annual", header=True).collect())) == plain
+    logged = scans.read_run_log(spark, runs).collect()
+    assert sorted((r.query_name, r.query_type) for r in logged) == [
+        ("annual", "df"), ("annual", "sql"), ("hourly", "sql"), ("monthly", "sql"),
+    ]
+    assert all(r.avg_execution_time_seconds > 0 and math.isfinite(r.avg_execution_time_seconds) for r in logged)
+    jobs.main(["clusters", *where, "--method", "elbow"])
+    jobs.main(["clusters", *where, "--method", "silhouette"])
+    jobs.main(["publish", "--results", results, "--pairs", str(tmp_path / "pairs"), "--runs", runs])
+    assert spark.read.parquet(str(tmp_path / "pairs" / "runs")).count() == 6
+    assert os.path.isdir(runs)
+
+
+@pytest.mark.parametrize("name", ["scan_entity_subset", "scan_single_entity"])
+def test_registered_scans_prune_folders(spark, name):
+    import __spark_entry__ as entry_points
+
+    df = entry_points.queries()[name](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
