@@ -8,9 +8,11 @@ import os
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
 
 from wattloom import jobs, session
+from wattloom.functions.distance import chord_distance
 from wattloom.operators import clustering, ranking
 from wattloom.plans import sql_text
 from wattloom.sinks import files
@@ -152,3 +154,19 @@ def test_registered_scans_prune_folders(spark, name):
     df = entry_points.queries()[name](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
+@pytest.mark.parametrize(("x", "y", "distance"), [(5.0, 0.0, 3.0), (0.0, 5.0, 4.0), (8.0, 6.0, 0.0), (0.0, -5.0, 4.0)])
+def test_distances_from_a_chord_worked_out_by_hand(spark, x, y, distance):
+    """The chord from (0, 0) to (4, 3) has length 5, so the distance is |3x - 4y| / 5."""
+    point = spark.createDataFrame([(x, y)], "x double, y double")
+    found = point.select(chord_distance(F.col("x"), F.col("y"), (0.0, 0.0), (4.0, 3.0)).alias("d")).first().d
+    assert found == pytest.approx(distance)
+
+
+def test_a_fit_stopped_early_costs_no_more_by_its_own_labels(spark, means):
+    """The stated cost belongs to the centres before the last update."""
+    features = clustering.feature_table(means, "entity", "value")
+    model = KMeans(k=6, seed=1, maxIter=1, featuresCol="features", predictionCol="cluster").fit(features)
+    again = clustering.wcss_of(model.transform(features), "value").first().score
+    assert again <= model.summary.trainingCost * (1 + 1e-9)
