@@ -42,6 +42,8 @@ FREQUENT = 64
 SUBCLASS_TOKENS = 32
 HISTOGRAM = 256
 KNOWN_WORDS = 400_000
+#: Entries of 8 bytes that may be broadcast.
+MAX_BROADCAST_ENTRIES = 2_000_000
 
 ODD = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 KNOWN: dict[bytes, bytes] = {}
@@ -296,24 +298,22 @@ def joined(
         "shingle-classes",
     )
     index = saved(index_rows(docs, text, n, percent, counts), "shingle-index")
-    shared = index.groupBy("entry").agg(
-        F.min("key").alias("least"),
-        F.max("key").alias("most"),
-        F.min(F.struct("before", "n", "key")).alias("center"),
-    )
-    shared = saved(shared.where("least < most").select("entry", "center"), "shared-entries")
-    lists = index.join(small(shared), "entry").groupBy("entry", "key", "n", "before", "center").agg(F.lit(1))
-    lists = saved(lists.select("entry", "key", "n", "before", "center"), "entry-lists")
+    # Numbers only, so this is a hash aggregate; the centers are looked for in what is left.
+    shared = index.groupBy("entry").agg(F.min("key").alias("least"), F.max("key").alias("most"))
+    shared = saved(shared.where("least < most").select("entry"), "shared-entries")
+    lists = index.join(small(shared, MAX_BROADCAST_ENTRIES), "entry").distinct()
+    lists = saved(lists, "entry-lists")
+    centers = lists.groupBy("entry").agg(F.min(F.struct("before", "n", "key")).alias("center"))
 
     center = [F.col(f"center.{c}") for c in ("key", "n", "before")]
-    star = lists.where(F.col("key") != center[0]).where(
+    star = lists.join(centers, "entry").where(F.col("key") != center[0]).where(
         may_link(percent, F.col("n"), F.col("before"), center[1], center[2])
     )
     star = star.select(F.least("key", center[0]).alias("a"), F.greatest("key", center[0]).alias("b"))
     links = verified(star.distinct(), classes, docs, text, id, n, percent)
 
     found = components(links).withColumnRenamed("node", "key")
-    labelled = lists.drop("center").join(found, "key", "left")
+    labelled = lists.join(found, "key", "left")
     labelled = saved(
         labelled.withColumn("component", F.coalesce("component", "key")), "labelled-lists"
     )
