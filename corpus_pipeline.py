@@ -14,6 +14,11 @@ from wattloom.llm.common import saved, table
 from wattloom.llm.queries import END_ID, tokenizer_path
 
 
+#: Near copies: documents whose sets of so many consecutive words are as similar as that.
+COPY_WORDS = 5
+COPY_PERCENT = 80
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that the counts or the lines' labels reject."""
     model = line_crf.train(docs, table(spark, sf_dir, "labels"))
@@ -22,7 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by their shingles, directly or by others, the one of least id stays."""
-    return shingle_join.one_of_each(docs)
+    return shingle_join.one_of_each(docs, n=COPY_WORDS, percent=COPY_PERCENT)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,6 +62,36 @@ def test_near_duplicates(steps):
     assert rows_of(steps[2]) == sorted((r for r in rows if r[0] in stay), key=repr)
 
 
+def test_near_copies_between_both_thresholds(spark):
+    """Planted copies of 0.80 to 0.85 on five words, some of them below 0.85 on four, by brute force."""
+    rows = []
+    for i in range(12):
+        words = [f"d{i}x{k}" for k in range(100)]
+        rows.append((10 * i, " ".join(words)))
+        # Two replaced words that share shingles: 100 - 4 - w of them stay the same with w words a shingle.
+        for copy, places in enumerate([(50, 51), (50, 53), (20, 70), (30,), (2, 50, 98)], 1):
+            own = [f"new{i}x{copy}x{k}" if k in places else word for k, word in enumerate(words)]
+            rows.append((10 * i + copy, " ".join(own)))
+    rows += [(1000 + n, " ".join(f"s{k}" for k in range(n))) for n in range(1, 9)]
+
+    def same(a, b, n):
+        sets = [{tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))} for w in (a.split(), b.split())]
+        return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+    # The reviewer's pair: a copy by five words and 0.8, none by four words and 0.85.
+    assert same(rows[0][1], rows[1][1], 5) == 90 / 102 and same(rows[0][1], rows[3][1], 5) == 86 / 106
+    assert same(rows[0][1], rows[3][1], 4) == 89 / 105
+    label = {doc_id: doc_id for doc_id, _ in rows}
+    for a, x in rows:
+        for b, y in rows:
+            if a < b and same(x, y, 5) >= 0.8 and label[a] != label[b]:
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = {d: new if own == old else own for d, own in label.items()}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs.repartition(3), SMALL).collect()}
+    assert left == {doc_id for doc_id, own in label.items() if doc_id == own}
+
+
 def test_benchmark_decontamination(spark, steps):
     items = [r.text.lower().split() for r in table(spark, SMALL, "benchmark").collect()]
 

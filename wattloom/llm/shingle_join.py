@@ -45,7 +45,13 @@ KNOWN_WORDS = 400_000
 #: Entries of 8 bytes that may be broadcast.
 MAX_BROADCAST_ENTRIES = 2_000_000
 
-ODD = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+#: One factor per place in a shingle, so a shingle has at most so many words.
+ODD = [
+    np.uint64(k)
+    for k in (
+        0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
+    )
+]
 KNOWN: dict[bytes, bytes] = {}
 
 
