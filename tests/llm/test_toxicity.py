@@ -43,6 +43,30 @@ def test_held_out_accuracy(spark):
     assert {r.doc_id: r.score for r in again.collect()} == pytest.approx({i: r.score for i, r in found.items()})
 
 
+def test_a_pair_of_terms_that_alone_tell_nothing():
+    """Both words are as common in toxic texts as in clean ones; toxic is only their pair (or an
+    insult without either), and each alone is in clean texts only."""
+    draw = random.Random(4)
+    rows = []
+    for i in range(3000):
+        kind, words = i % 8, [f"w{draw.randrange(200)}" for _ in range(draw.randrange(5, 60))]
+        words += {0: ["insultxyz"], 1: ["group", "vermin"]}.get(kind, [["group"], ["vermin"]][kind % 2])
+        draw.shuffle(words)
+        rows.append((toxicity.HASHER.buckets(" ".join(words)), float(kind < 2), kind, draw.random() < 0.25))
+    fitted = [r for r in rows if not r[3]]
+    for word in ("group", "vermin"):
+        own = np.frombuffer(toxicity.HASHER.word(word), "<u4")
+        shares = [np.mean([np.isin(own, r[0]).all() for r in fitted if r[1] == label]) for label in (0, 1)]
+        assert abs(shares[0] - shares[1]) < 0.06
+    machine = toxicity.fit([r[0] for r in fitted], np.array([r[1] for r in fitted]))
+    held = [r for r in rows if r[3]]
+    raw, _ = toxicity.raw_scores(machine, np.concatenate([r[0] for r in held]).astype(int), np.array([len(r[0]) for r in held]))
+    predicted = toxicity.sigmoid(raw) >= toxicity.THRESHOLD
+    share = lambda wanted: np.mean([p for p, r in zip(predicted, held, strict=True) if wanted(r[2])])
+    assert share(lambda kind: kind == 0) > 0.9 and share(lambda kind: kind == 1) > 0.9
+    assert share(lambda kind: kind > 1) < 0.05
+
+
 def test_scores_equal_the_sum_over_pairs():
     random = np.random.default_rng(1)
     machine = toxicity.Machine(0.3, random.normal(size=toxicity.BUCKETS), random.normal(size=(toxicity.BUCKETS, toxicity.FACTORS)))

@@ -27,10 +27,15 @@ PREFIXES = (4, 5, 6)
 #: Labelled documents to fit on, per label: those of the smallest hash.
 SAMPLE_TOXIC = 3000
 SAMPLE_CLEAN = 6000
-#: Buckets take part if the shares of toxic and clean documents that hold them differ by so many
-#: standard errors: rare words of a few documents would be learned by heart.
-MIN_DEVIATION = 4.0
+#: A weight shrinks by what chance alone makes of its slope, times this.
+NOISE = 1.0
+#: The part of the factors' squares in the loss: less, and the pairs learn single long texts by heart.
+FACTOR_SQUARES = 0.12
+#: Where the sums of squared slopes start.
+START = 1e-4
+#: Rounds over the sample, more of them if they make fewer than STEPS steps.
 EPOCHS = 30
+STEPS = 600
 BATCH = 256
 KNOWN_WORDS = 400_000
 THRESHOLD = 0.3
@@ -94,53 +99,46 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def telling(documents: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Which buckets deviate between the labels by MIN_DEVIATION standard errors."""
-    held = np.zeros((2, BUCKETS))
-    for buckets, label in zip(documents, labels, strict=True):
-        held[int(label), buckets] += 1
-    sizes = np.array([(labels == 0).sum(), (labels == 1).sum()])[:, None]
-    share = held.sum(axis=0) / sizes.sum()
-    error = np.sqrt(share * (1 - share) * (1 / sizes).sum()) + 1e-12
-    # One document less must not change it.
-    less = np.where(held[1] * sizes[0] > held[0] * sizes[1], [[0.0], [1.0]], [[1.0], [0.0]])
-    shares = np.maximum(held - less, 0) / sizes
-    return np.abs(shares[1] - shares[0]) >= MIN_DEVIATION * error
-
-
 def fit(documents: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Machine:
-    """Logistic loss, Adagrad on shuffled batches, over the buckets that tell the labels apart."""
+    """Logistic loss, Adagrad on shuffled batches, over all buckets of the sample.
+
+    No bucket is left out: a term may tell only together with another, and a rare one may be an
+    insult. Weights shrink by the slope that chance gives a bucket of as many documents, factors in
+    proportion to themselves, so that rare words of a few documents are not learned by heart.
+    """
     random = np.random.default_rng(seed)
-    use = telling(documents, labels)
-    documents = [d[use[d]] for d in documents]
+    lengths = np.array([len(d) for d in documents])
+    held, places = np.unique(np.concatenate(documents), return_inverse=True)
+    size, starts = len(held), np.concatenate([[0], np.cumsum(lengths)])
+    places = places.astype(np.int64)
+    # What chance alone makes of a bucket's slope grows with the root of its number of documents.
+    share = labels.mean()
+    noise = NOISE * np.sqrt(np.bincount(places, minlength=size) * share * (1 - share)) / len(documents)
     bias, bias_sum = float(np.log((labels.sum() + 0.5) / (len(labels) - labels.sum() + 0.5))), 1e-8
-    weights = np.zeros(BUCKETS)
-    factors = random.normal(0, 0.01, (BUCKETS, FACTORS)) * use[:, None]
-    weight_sum, factor_sum = np.full(BUCKETS, 1e-8), np.full((BUCKETS, FACTORS), 1e-4)
-    for _ in range(EPOCHS):
+    weights, factors = np.zeros(size), random.normal(0, 0.01, (size, FACTORS))
+    weight_sum, factor_sum = np.full(size, START), np.full((size, FACTORS), START)
+    for _ in range(max(EPOCHS, -(-STEPS // -(-len(documents) // BATCH)))):
         order = random.permutation(len(documents))
         for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]
-            lengths = np.array([len(documents[i]) for i in rows])
-            buckets = np.concatenate([documents[i] for i in rows]).astype(np.int64)
-            raw, total = raw_scores(Machine(bias, weights, factors), buckets, lengths)
+            buckets = np.concatenate([places[starts[i] : starts[i + 1]] for i in rows])
+            raw, total = raw_scores(Machine(bias, weights, factors), buckets, lengths[rows])
             wrong = (sigmoid(raw) - labels[rows]) / len(rows)
-            per_term = np.repeat(wrong, lengths)
-            touched, where = np.unique(buckets, return_inverse=True)
-            slope = np.bincount(where, per_term, len(touched)) + 2e-5 * weights[touched]
-            weight_sum[touched] += slope**2
-            own = factors[buckets]
-            pull = per_term[:, None] * (np.repeat(total, lengths, axis=0) - own)
-            slopes = np.stack(
-                [np.bincount(where, pull[:, f], len(touched)) for f in range(FACTORS)], axis=1
-            )
-            slopes += 1e-4 * factors[touched]
-            factor_sum[touched] += slopes**2
-            weights[touched] -= 0.1 * slope / np.sqrt(weight_sum[touched])
-            factors[touched] -= 0.02 * slopes / np.sqrt(factor_sum[touched])
+            slope = np.bincount(buckets, np.repeat(wrong, lengths[rows]), size)
+            pulls = wrong[:, None] * total
+            pull = [np.bincount(buckets, np.repeat(pulls[:, f], lengths[rows]), size) for f in range(FACTORS)]
+            slopes = np.stack(pull, axis=1) - factors * slope[:, None] + FACTOR_SQUARES * factors
+            weight_sum += slope**2
+            factor_sum += slopes**2
+            rate = 0.1 / np.sqrt(weight_sum)
+            moved = weights - rate * slope
+            weights = np.sign(moved) * np.maximum(np.abs(moved) - rate * noise, 0)
+            factors -= 0.02 * slopes / np.sqrt(factor_sum)
             bias_sum += wrong.sum() ** 2
             bias -= 0.05 * wrong.sum() / np.sqrt(bias_sum)
-    return Machine(bias, weights, factors)
+    machine = Machine(bias, np.zeros(BUCKETS), np.zeros((BUCKETS, FACTORS)))
+    machine.weights[held], machine.factors[held] = weights, factors
+    return machine
 
 
 def pack(machine: Machine) -> bytes:
