@@ -36,6 +36,18 @@ def test_equal_pages_are_no_evidence():
     assert wrapper.extract_group([same] * 20) == ["Welcome to our site\n\nTitle\n\nStory"] * 20
 
 
+def test_copied_articles_are_no_template():
+    """Copies of an article under differing menus, adverts and comments: 12 of 20 pages, 3 of 4 pages."""
+    story = "<h1>Title</h1><p>Copied story</p>"
+    copies = [page(i, story) + f"<!-- ad {i} -->" for i in range(12)]
+    others = [page(50 + i, f"<h1>Other {i}</h1><p>Story {i}</p>") for i in range(8)]
+    found = wrapper.extract_group(copies + others)
+    assert found == ["Title\n\nCopied story"] * 12 + [f"Other {i}\n\nStory {i}" for i in range(8)]
+    # Two different texts are too few to know a template by.
+    for text in wrapper.extract_group(copies[:3] + others[:1])[:3]:
+        assert text == "Welcome to our site\n\nTitle\n\nCopied story"
+
+
 def test_simple_tree_matching():
     a = wrapper.parse("<div><p>1</p><ul><li>x</li></ul><p>2</p></div>")
     b = wrapper.parse("<div><ul><li>y</li><li>z</li></ul><p>3</p><p>4</p></div>")

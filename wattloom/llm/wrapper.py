@@ -231,17 +231,17 @@ def template_of(node: Node) -> Node:
     return made
 
 
-def note(slot: Node, node: Node) -> None:
-    """Count a page's node at its slot, with everything below."""
+def note(slot: Node, node: Node, counts: bool) -> None:
+    """Put a page's node at its slot and, if the page counts for the template, count its text."""
     node.slot = slot
     slot.pages += 1
-    if node.tag == "#text":
+    if counts and node.tag == "#text":
         slot.texts[" ".join(node.text.split())] += 1
 
 
-def align(slot: Node, node: Node, matcher: Matcher) -> bool:
+def align(slot: Node, node: Node, matcher: Matcher, counts: bool) -> bool:
     """Match a page's node with a template node, adding what the template lacks. Whether it grew."""
-    note(slot, node)
+    note(slot, node, counts)
     mine = content_children(node)
     matched = dict((j, i) for i, j in matcher.pairs(slot.children, mine))
     grown: list[tuple[int, Node]] = []
@@ -249,10 +249,10 @@ def align(slot: Node, node: Node, matcher: Matcher) -> bool:
     for j, child in enumerate(mine):
         if j in matched:
             last = matched[j]
-            changed |= align(slot.children[last], child, matcher)
+            changed |= align(slot.children[last], child, matcher, counts)
         else:
             made = template_of(child)
-            fill(made, child)
+            fill(made, child, counts)
             grown.append((last, made))
     for last, made in reversed(grown):
         slot.children.insert(last + 1, made)
@@ -262,23 +262,33 @@ def align(slot: Node, node: Node, matcher: Matcher) -> bool:
     return False
 
 
-def fill(slot: Node, node: Node) -> None:
-    note(slot, node)
+def fill(slot: Node, node: Node, counts: bool) -> None:
+    note(slot, node, counts)
     for inner, child in zip(slot.children, content_children(node), strict=True):
-        fill(inner, child)
+        fill(inner, child, counts)
 
 
-def induce(trees: list[Node]) -> None:
-    """Align the pages of a group; afterwards each node knows its slot."""
+def induce(trees: list[Node]) -> int:
+    """Align the pages of a group; afterwards each node knows its slot. The number of pages that
+    count for the template: of pages with the same text outside the excluded roles, one does, so
+    that an article is not taken for template because it was copied."""
+    seen: set[str] = set()
     template = template_of(trees[0])
-    fill(template, trees[0])
     matcher = Matcher()
-    for tree in trees[1:]:
-        align(template, tree, matcher)
+    for i, tree in enumerate(trees):
+        # With no pages to count, no text is template.
+        text = main_text(tree, 0)
+        counts = text not in seen
+        seen.add(text)
+        if i:
+            align(template, tree, matcher, counts)
+        else:
+            fill(template, tree, counts)
+    return len(seen)
 
 
 def is_template_text(node: Node, pages: int) -> bool:
-    """Whether most of the group's pages have this very text at this slot."""
+    """Whether most of the pages that count have this very text at this slot."""
     if node.slot is None or pages < MIN_PAGES:
         return False
     same = node.slot.texts[" ".join(node.text.split())]
@@ -336,13 +346,13 @@ def main_text(tree: Node, pages: int) -> str:
 
 
 def extract_group(pages: list[str]) -> list[str]:
-    """The main texts of pages of one host. Equal pages count once for the template."""
+    """The main texts of pages of one host. Pages of equal text count once for the template."""
     different = {page: None for page in pages}
     for page in different:
         different[page] = parse(page)
     trees = list(different.values())
-    induce(trees)
-    texts = {page: main_text(tree, len(trees)) for page, tree in different.items()}
+    pages_counted = induce(trees)
+    texts = {page: main_text(tree, pages_counted) for page, tree in different.items()}
     return [texts[page] for page in pages]
 
 
