@@ -89,6 +89,20 @@ def test_backpropagation_follows_the_loss():
         assert slopes["recurrent"][at] == pytest.approx(np.clip(numeric, -5, 5), rel=1e-3, abs=1e-5)
 
 
+def test_every_step_adds_to_the_loss():
+    shape, p = small_model()
+    tokens = np.random.default_rng(6).integers(1, 11, (3, 20)).astype(np.int32)
+    targets = []
+
+    class Noted(gru_lm.Trainer):
+        def output_slopes(self, h, token, scale):
+            targets.append(token)
+            return super().output_slopes(h, token, scale)
+
+    Noted(p, shape.per_class).window(tokens, tokens, np.zeros((3, gru_lm.HIDDEN), np.float32), 0)
+    assert np.array_equal(np.sort(np.concatenate(targets)), np.sort(tokens.ravel()))
+
+
 def check_base(rows, found, training):
     counts = Counter()
     for doc_id, text in training:

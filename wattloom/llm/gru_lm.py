@@ -37,8 +37,8 @@ HIDDEN = 16
 ROUNDS = 3
 STREAMS = 128
 WINDOW = 20
-#: Every step carries the state on; every LOSS_EVERYth one, by turns, adds to the loss.
-LOSS_EVERY = 4
+#: Every LOSS_EVERYth step adds to the loss: all of them, every token is a target once.
+LOSS_EVERY = 1
 RATE = 0.05
 BLOCK = 4096
 HELD_WORDS = 1_000_000
@@ -207,7 +207,9 @@ class Trainer:
             self.change("word_bias", wrong.sum(axis=0), c)
         return back
 
-    def window(self, tokens: np.ndarray, before: np.ndarray, h: np.ndarray, turn: int) -> np.ndarray:
+    def window(
+        self, tokens: np.ndarray, before: np.ndarray, h: np.ndarray, turn: int, weight: float = 1.0
+    ) -> np.ndarray:
         """One window (streams x steps): ``before`` is the token read ahead of each predicted one,
         -1 at the start of a text, where the state is cleared. Returns the last states."""
         p, steps = self.p, tokens.shape[1]
@@ -222,7 +224,7 @@ class Trainer:
         scored = range(turn % LOSS_EVERY, steps, LOSS_EVERY)
         picked = np.concatenate([states[t] for t in scored])
         # The mean loss per scored token, times a constant, so that steps do not depend on sizes.
-        slopes = self.output_slopes(picked, np.concatenate([tokens[:, t] for t in scored]), 32.0 / len(picked))
+        slopes = self.output_slopes(picked, np.concatenate([tokens[:, t] for t in scored]), weight * 32.0 / len(picked))
         by_step = dict(zip(scored, np.split(slopes, len(scored)), strict=True))
         dh = np.zeros_like(h)
         d_recurrent = np.zeros_like(p.recurrent)
@@ -250,8 +252,8 @@ class Trainer:
         return h
 
     def train(self, tokens: np.ndarray, before: np.ndarray) -> None:
-        """All tokens of a task, cut into streams of equal length; a rest shorter than the number
-        of streams goes as a last window of single steps."""
+        """All tokens of a batch, cut into streams of equal length; a rest shorter than the number
+        of streams is left."""
         streams = max(1, min(STREAMS, len(tokens) // (4 * WINDOW)))
         length = len(tokens) // streams
         h = np.zeros((streams, HIDDEN), F32)
@@ -259,8 +261,7 @@ class Trainer:
         ahead = before[: streams * length].reshape(streams, length)
         for turn, at in enumerate(range(0, length, WINDOW)):
             cut = slice(at, at + WINDOW)
-            if grid[:, cut].shape[1] >= LOSS_EVERY:
-                h = self.window(grid[:, cut], ahead[:, cut], h, turn)
+            h = self.window(grid[:, cut], ahead[:, cut], h, turn)
 
 
 def ids_of(words: list[bytes], ids: dict[bytes, int]) -> np.ndarray:
