@@ -103,6 +103,24 @@ def test_every_step_adds_to_the_loss():
     assert np.array_equal(np.sort(np.concatenate(targets)), np.sort(tokens.ravel()))
 
 
+@pytest.mark.parametrize("size", [1, 3, 79, 81, 170, 1003, 20_007])
+def test_every_token_is_a_target_once(size):
+    """Also those of short last windows and those left over by equal streams."""
+    shape, p = small_model()
+    tokens = np.random.default_rng(5).integers(1, 11, size).astype(np.int32)
+    before = np.concatenate([[-1], tokens[:-1]]).astype(np.int32)
+    targets = []
+
+    class Noted(gru_lm.Trainer):
+        def output_slopes(self, h, token, scale):
+            targets.append(token)
+            return super().output_slopes(h, token, scale)
+
+    Noted(p, shape.per_class).train(tokens, before)
+    found = np.concatenate(targets)
+    assert len(found) == size and np.array_equal(np.bincount(found, minlength=11), np.bincount(tokens, minlength=11))
+
+
 def check_base(rows, found, training):
     counts = Counter()
     for doc_id, text in training:

@@ -253,7 +253,7 @@ class Trainer:
 
     def train(self, tokens: np.ndarray, before: np.ndarray) -> None:
         """All tokens of a batch, cut into streams of equal length; a rest shorter than the number
-        of streams is left."""
+        of streams goes on from the last stream, with the weight that its tokens have in a window."""
         streams = max(1, min(STREAMS, len(tokens) // (4 * WINDOW)))
         length = len(tokens) // streams
         h = np.zeros((streams, HIDDEN), F32)
@@ -262,6 +262,11 @@ class Trainer:
         for turn, at in enumerate(range(0, length, WINDOW)):
             cut = slice(at, at + WINDOW)
             h = self.window(grid[:, cut], ahead[:, cut], h, turn)
+        h = h[-1:]
+        for turn, at in enumerate(range(streams * length, len(tokens), WINDOW)):
+            cut = slice(at, at + WINDOW)
+            part = tokens[None, cut]
+            h = self.window(part, before[None, cut], h, turn, part.size / (streams * WINDOW))
 
 
 def ids_of(words: list[bytes], ids: dict[bytes, int]) -> np.ndarray:
