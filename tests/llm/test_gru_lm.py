@@ -121,6 +121,23 @@ def test_every_token_is_a_target_once(size):
     assert len(found) == size and np.array_equal(np.bincount(found, minlength=11), np.bincount(tokens, minlength=11))
 
 
+def test_vocabulary_follows_the_corpus(spark, monkeypatch):
+    """Frequent words beyond the least number are words of the model, with more classes."""
+    monkeypatch.setattr(gru_lm, "VOCABULARY", 20)
+    monkeypatch.setattr(gru_lm, "CLASSES", 4)
+    often, seldom = [f"w{i}" for i in range(150)], [f"r{i}" for i in range(60)]
+    rows = [(i, " ".join([*often, *(seldom if i < 3 else [])])) for i in range(gru_lm.MIN_COUNT)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = gru_lm.train(docs, F.lit(True))
+    assert {*model.shape.words} == {b"", *(w.encode() for w in often)}
+    assert model.shape.classes == 13 and model.parameters.class_out.shape[1] == 13
+    h = np.random.default_rng(3).normal(size=(1, gru_lm.HIDDEN)).astype(np.float32)
+    every = np.arange(13 * model.shape.per_class)
+    found = gru_lm.log_probabilities(model.parameters, np.repeat(h, len(every), 0), every, model.shape.per_class)
+    assert np.exp(found.astype(float)).sum() == pytest.approx(1, abs=1e-4)
+    check_base(rows, gru_lm.score(docs, model).collect(), rows)
+
+
 def check_base(rows, found, training):
     counts = Counter()
     for doc_id, text in training:

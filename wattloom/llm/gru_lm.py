@@ -1,7 +1,7 @@
 """Log-likelihoods of whole documents under a gated recurrent language model.
 
 Counts first: every task counts the words of its training documents, the counts are summed by word,
-and the most frequent words become the model's vocabulary; all others are one event, "rare", whose
+and the words from some count on become the model's vocabulary, which grows with them; all others are one event, "rare", whose
 probability the model gives and which is split by the counts. Words are cut into classes of about
 equal size by falling frequency, and a word's probability is that of its class times that of the
 word within the class, two short softmaxes instead of one long one. Both start at the counts, so
@@ -28,10 +28,13 @@ from pyspark.sql import functions as F
 
 from wattloom.llm.common import saved
 
-#: The vocabulary, a fixed bound on the model; further words are "rare". Of the rare ones, the
-#: counts of the more frequent are sent along, up to another bound; the others are joined.
+#: The vocabulary: all words of MIN_COUNT and more, and so many of the most frequent at least;
+#: further words are "rare". Counts are sent along up to a bound, the only one on the vocabulary;
+#: the others are joined.
 VOCABULARY = 4095
+MIN_COUNT = 20
 HELD_COUNTS = 250_000
+#: At least; the root of the number of words, if that is more.
 CLASSES = 64
 HIDDEN = 16
 ROUNDS = 3
@@ -81,10 +84,11 @@ class Shape(NamedTuple):
 
     words: list[bytes]
     rare_mass: int
+    classes: int = CLASSES
 
     @property
     def per_class(self) -> int:
-        return -(-(len(self.words) + 1) // CLASSES)
+        return -(-(len(self.words) + 1) // self.classes)
 
 
 class Parameters(NamedTuple):
@@ -114,10 +118,10 @@ def initial(shape: Shape, counts: list[int], seed: int = 1) -> Parameters:
     Id 0 is the rare event, the words follow by falling frequency.
     """
     random = np.random.default_rng(seed)
-    mass = np.zeros(CLASSES * shape.per_class)
+    mass = np.zeros(shape.classes * shape.per_class)
     mass[0] = shape.rare_mass
     mass[1 : 1 + len(counts)] = np.array(counts) + 1.0
-    by_class = mass.reshape(CLASSES, shape.per_class)
+    by_class = mass.reshape(shape.classes, shape.per_class)
     with np.errstate(divide="ignore"):
         word_bias = np.log(by_class)
         class_bias = np.log(by_class.sum(axis=1))
@@ -127,9 +131,9 @@ def initial(shape: Shape, counts: list[int], seed: int = 1) -> Parameters:
     return Parameters(
         draw(0.1, len(mass), 3 * HIDDEN),
         draw(0.5 / math.sqrt(HIDDEN), HIDDEN, 3 * HIDDEN),
-        np.zeros((HIDDEN, CLASSES), F32),
+        np.zeros((HIDDEN, shape.classes), F32),
         class_bias.astype(F32),
-        np.zeros((CLASSES, HIDDEN, shape.per_class), F32),
+        np.zeros((shape.classes, HIDDEN, shape.per_class), F32),
         word_bias.astype(F32),
     )
 
@@ -158,8 +162,8 @@ def log_probabilities(p: Parameters, h: np.ndarray, token: np.ndarray, per_class
     group, place = token // per_class, token % per_class
     out = log_softmax(h @ p.class_out + p.class_bias)[np.arange(len(token)), group]
     order = np.argsort(group, kind="stable")
-    bounds = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
+    bounds = np.searchsorted(group[order], np.arange(len(p.class_bias) + 1))
+    for c in range(len(p.class_bias)):
         rows = order[bounds[c] : bounds[c + 1]]
         if len(rows):
             inner = log_softmax(h[rows] @ p.word_out[c] + p.word_bias[c])
@@ -193,8 +197,8 @@ class Trainer:
         self.change("class_out", h.T @ wrong)
         self.change("class_bias", wrong.sum(axis=0))
         order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        bounds = np.searchsorted(group[order], np.arange(len(p.class_bias) + 1))
+        for c in range(len(p.class_bias)):
             rows = order[bounds[c] : bounds[c + 1]]
             if not len(rows):
                 continue
@@ -301,10 +305,10 @@ def train_round(docs: DataFrame, text: str, shape: Shape, p: Parameters) -> Para
             trainer.train(tokens, before)
             seen += len(tokens)
         if seen:
-            flat = np.frombuffer(trainer.p.packed(), "<f4").astype(np.float64) * seen
+            flat = np.frombuffer(trainer.p.packed(), "<f4")
             for block, at in enumerate(range(0, len(flat), BLOCK)):
-                arrays = [pa.array([block]), pa.array([float(seen)]), pa.array([flat[at : at + BLOCK].astype("<f8").tobytes()], pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, ["block", "weight", "sums"])
+                arrays = [pa.array([block]), pa.array([float(seen)]), pa.array([flat[at : at + BLOCK].tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["block", "weight", "part"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums of blocks: a fixed number of numbers, however many tasks there are."""
@@ -312,16 +316,15 @@ def train_round(docs: DataFrame, text: str, shape: Shape, p: Parameters) -> Para
         weights: Counter = Counter()
         for batch in batches:
             for row in batch.to_pylist():
-                part = np.frombuffer(row["sums"], "<f8")
+                part = np.frombuffer(row["part"], "<f4") * np.float64(row["weight"])
                 sums[row["block"]] = sums[row["block"]] + part if row["block"] in sums else part
                 weights[row["block"]] += row["weight"]
         for block, total in sums.items():
             arrays = [pa.array([block]), pa.array([weights[block]]), pa.array([total.tobytes()], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["block", "weight", "sums"])
 
-    rows = "block long, weight double, sums binary"
-    made = docs.select(text).mapInArrow(run, rows)
-    total = made.repartition(8, "block").mapInArrow(add, rows)
+    made = docs.select(text).mapInArrow(run, "block long, weight double, part binary")
+    total = made.repartition(8, "block").mapInArrow(add, "block long, weight double, sums binary")
     found = sorted(total.collect(), key=lambda row: row.block)
     if not found:
         return p
@@ -362,12 +365,13 @@ def train(docs: DataFrame, usable: Column, id: str = "doc_id", text: str = "text
     ends = counts.where(F.length("word") == 0).select("count").first()
     held[b""] = ends[0] if ends else 0
     # The end of a text is always a word of the model.
-    words = sorted(held.items(), key=lambda item: (item[0] != b"", -item[1], item[0]))[:VOCABULARY]
+    size = max(VOCABULARY, sum(c >= MIN_COUNT for c in held.values()))
+    words = sorted(held.items(), key=lambda item: (item[0] != b"", -item[1], item[0]))[:size]
     words.sort(key=lambda item: (-item[1], item[0]))
     tokens, distinct = total.tokens or 0, total.distinct
     # What is left for rare words and for unknown ones, all counted once more.
     rare = tokens + distinct + 1 - sum(c + 1 for _, c in words)
-    shape = Shape([w for w, _ in words], max(1, rare))
+    shape = Shape([w for w, _ in words], max(1, rare), max(CLASSES, math.isqrt(len(words)) + 1))
     p = initial(shape, [c for _, c in words])
     share = F.pmod(F.xxhash64("id", F.lit("round")), F.lit(ROUNDS))
     for i in range(ROUNDS):
