@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontamination, gru_lm, line_crf, line_join, mixing, shingle_join, token_store, toxicity, warc, wrapper
+from wattloom.llm import bpe, decontamination, gru_lm, line_crf, line_join, mixing, shingle_join, token_store, toxicity, warc, wrapper
 from wattloom.llm.common import table
 
 
@@ -80,6 +80,17 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.linked_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.json")
+    tokens = bpe.encoded(table(spark, sf_dir, "documents"), path)
+    return bpe.decoded(tokens, path).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_token_store": op2_token_store,
@@ -91,4 +102,5 @@ QUERIES = {
     "op8_line_join": op8_line_join,
     "op9_line_crf": op9_line_crf,
     "op10_shingle_join": op10_shingle_join,
+    "op13_bpe": op13_bpe,
 }
