@@ -191,4 +191,36 @@ SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_kept, 0) AS n_kept,
 FROM documents LEFT JOIN line_counts USING (doc_id) LEFT JOIN per_document USING (doc_id)
 """
 
-EXPECTED = {"op1_mixing": OP1, "op4_warc": OP4, "op6_decontamination": OP6, "op8_line_join": OP8}
+OP12 = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+EXPECTED = {
+    "op1_mixing": OP1,
+    "op4_warc": OP4,
+    "op6_decontamination": OP6,
+    "op8_line_join": OP8,
+    "op12_hard_negatives": OP12,
+}
