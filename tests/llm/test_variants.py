@@ -1,0 +1,127 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from tests.llm.fixtures import no_documents, odd_documents, odd_rows
+from wattloom.llm import queries, variants
+
+LOWER = str.maketrans(variants.UPPER, variants.UPPER.lower())
+
+
+def plain_words(rows) -> dict[str, int]:
+    counts: Counter[str] = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def plain_near(words) -> dict[str, set[str]]:
+    """Words whose deletions meet, checked edit by edit."""
+    holes: dict[tuple[int, str], set[str]] = {}
+    found: dict[str, set[str]] = {w: set() for w in words}
+    for w in words:
+        for i in range(len(w)):
+            hole = w[:i] + w[i + 1 :]
+            holes.setdefault((i, hole), set()).add(w)
+            if hole in found:
+                found[w].add(hole)
+                found[hole].add(w)
+    for group in holes.values():
+        for w in group:
+            found[w] |= group - {w}
+    return found
+
+
+def plain(rows) -> list[tuple]:
+    words = plain_words(rows)
+    near = plain_near(words)
+    forms = {}
+    for w, others in near.items():
+        if others:
+            best = min(others, key=lambda o: (-words[o], o))
+            if words[best] >= 10 * words[w]:
+                forms[w] = best
+    found = []
+    for w, n in words.items():
+        root = w
+        while root in forms:
+            root = forms[root]
+        form = forms.get(w)
+        found.append((w, form, root, n, len(near[w]), words.get(form)))
+    return sorted(found)
+
+
+def rows_of(df) -> list[tuple]:
+    return sorted(tuple(r) for r in df.collect())
+
+
+def misspelt(seed: int) -> list[tuple]:
+    """Frequent words, and rarer ones one and two edits from them, in steps of frequency."""
+    drawn = random.Random(seed)
+    letters = "abeiorstnÀéÿZ"
+    texts = []
+    for _ in range(40):
+        word = "".join(drawn.choice(letters) for _ in range(drawn.randrange(7, 14)))
+        for n in (400, 30, 2):
+            texts += [word] * n
+            at = drawn.randrange(len(word))
+            word = drawn.choice([word[:at] + word[at + 1 :], word[:at] + drawn.choice(letters) + word[at:],
+                                 word[:at] + drawn.choice(letters) + word[at + 1 :]])
+    drawn.shuffle(texts)
+    return [(i, " ".join(texts[i * 50 : i * 50 + 50]) + ".") for i in range(-(-len(texts) // 50))]
+
+
+def test_against_plain_words(spark):
+    rows = misspelt(1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = rows_of(variants.variant_groups(docs))
+    assert found == plain(rows)
+    assert any(r[2] not in (r[0], r[1]) for r in found), "no path of two steps"
+
+
+def test_odd_documents(spark):
+    rows = [(r[0], r[1]) for r in odd_rows()]
+    more = [(1, "KelvinKelvin KelvinKelvin STRASSEß strasseß İstanbullu İstanbullu"),
+            (None, "anywhere " * 3 + "x" * 5_000 + " " + "x" * 4_999 + "y"), (None, "x" * 5_000 + " " + "x" * 4_999 + "y"),
+            (7, "abcdefg" * 3_000 + " " + "abcdefg" * 3_000), (2, "×multiply ×multiply ÷divided ÷divided")]
+    more += [(i, "aaaaaaa aaaaaaaa aaaaaaaaa bababab abababa") for i in range(50, 60)]
+    docs = odd_documents(spark).select("doc_id", "text", "n", "key").union(
+        spark.createDataFrame([(*r, 1, "k") for r in more], "doc_id long, text string, n int, key string")
+    )
+    assert rows_of(variants.variant_groups(docs)) == plain(rows + more)
+
+
+@pytest.mark.parametrize("key_words, block", [(4096, 128), (3, 2), (8, 5)])
+def test_tiles_find_every_pair_once(spark, monkeypatch, key_words, block):
+    drawn = random.Random(5)
+    words = {"".join(drawn.choice("ab") for _ in range(drawn.randrange(7, 11))) for _ in range(300)}
+    words |= {"".join(drawn.choice("abÿ") for _ in range(14)) for _ in range(100)}
+    table = spark.createDataFrame([(w, 2) for w in words], "word string, n long")
+    monkeypatch.setattr(variants, "BLOCK", block)
+    found = [(r.word, r.near) for r in variants.near_words(table, key_words).collect()]
+    assert len(found) == len(set(found))
+    assert set(found) == {(w, o) for w, others in plain_near(words).items() for o in others}
+
+
+def test_empty_table(spark):
+    found = variants.variant_groups(no_documents(spark))
+    assert found.collect() == []
+    assert found.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+
+
+def test_query(spark, sf_dir):
+    docs = queries.table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    found = rows_of(queries.op11_variants(spark, sf_dir))
+    assert found == plain([tuple(r) for r in docs])
+    assert any(r[1] for r in found)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import bpe, decontamination, gru_lm, hard_negatives, line_crf, line_join, mixing, shingle_join, token_store, toxicity, warc, wrapper
+from wattloom.llm import bpe, decontamination, gru_lm, hard_negatives, line_crf, line_join, mixing, shingle_join, token_store, toxicity, variants, warc, wrapper
 from wattloom.llm.common import table
 
 
@@ -80,6 +80,10 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.linked_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variant_groups(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
 
@@ -106,6 +110,7 @@ QUERIES = {
     "op8_line_join": op8_line_join,
     "op9_line_crf": op9_line_crf,
     "op10_shingle_join": op10_shingle_join,
+    "op11_variants": op11_variants,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_bpe": op13_bpe,
 }
