@@ -194,10 +194,10 @@ FROM documents LEFT JOIN line_counts USING (doc_id) LEFT JOIN per_document USING
 OP12 = """
 WITH usable AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 scores AS (
   SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
