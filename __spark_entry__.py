@@ -17,7 +17,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from wattloom.functions.naming import named  # noqa: E402
-from wattloom.operators import clustering, prep, profiles, ranking, runs, summary  # noqa: E402
+from wattloom.operators import clustering, lloyd, prep, profiles, ranking, runs, summary  # noqa: E402
 from wattloom.plans import families, sql_text  # noqa: E402
 from wattloom.session import fresh_folder, shared_dir, ship_package, use_utc  # noqa: E402
 from wattloom.sinks import files  # noqa: E402
@@ -214,7 +214,8 @@ def scored_sweep(score: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         features = feature_rows(year_means(spark, sf_dir))
         sweep = clustering.k_sweep(features, with_silhouette=score == "silhouette")
-        again = clustering.recomputed(sweep, features, "m1_mean")
+        centers = {k: [c[0] for c in m.clusterCenters()] for k, m in sweep.models.items()}
+        again = lloyd.rescored(features, "m1_mean", centers)
         fitted = sweep.curve.select("k", F.col(score).alias("score"), F.lit(True).alias("fitted"))
         anew = again.select("k", F.col(score).alias("score"), F.lit(False).alias("fitted"))
         both = fitted.union(anew).groupBy("k").agg(
@@ -238,6 +239,26 @@ def cluster_assignments(method: str) -> Query:
     return query
 
 
+def lloyd_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cost and silhouette of every k, from starts that a hash names."""
+    return rounded(lloyd.k_sweep(feature_rows(year_means(spark, sf_dir)), "m1_mean").curve)
+
+
+def lloyd_choice(spark: SparkSession, sf_dir: str, method: str) -> tuple[DataFrame, DataFrame]:
+    features = feature_rows(year_means(spark, sf_dir))
+    clusters, curve = lloyd.cluster_by_choice(features, "entity", "m1_mean", method)
+    return rounded(clusters), rounded(curve)
+
+
+def lloyd_clusters(method: str) -> Query:
+    """Sweep, choice of k, and every entity's cluster."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return lloyd_choice(spark, sf_dir, method)[0]
+
+    return query
+
+
 def monthly_curve(spark: SparkSession, sf_dir: str, metric: str = "m1_mean") -> DataFrame:
     """A curve that does not depend on a seed: month number and monthly mean."""
     k = (F.col("year") * 12 + F.col("month")).alias("k")
@@ -290,6 +311,17 @@ def kv_curve(method: str) -> Query:
     return query
 
 
+def kv_swept_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clusters of the sweep as they are published."""
+    clusters, _ = lloyd_choice(spark, sf_dir, "silhouette")
+    return families.kv_clusters(clusters, "entity", "silhouette")
+
+
+def kv_swept_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, curve = lloyd_choice(spark, sf_dir, "elbow")
+    return families.kv_curve(curve, "elbow")
+
+
 def run_time_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(runs.run_time_stats(tables.shipment_runs(spark, sf_dir)))
 
@@ -341,6 +373,9 @@ REGISTERED: dict[str, Query] = {
     "silhouette_select": silhouette_select,
     "cluster_assignments": cluster_assignments("elbow"),
     "cluster_assignments_silhouette": cluster_assignments("silhouette"),
+    "lloyd_sweep": lloyd_sweep,
+    "lloyd_clusters_elbow": lloyd_clusters("elbow"),
+    "lloyd_clusters_silhouette": lloyd_clusters("silhouette"),
     "kv_annual_stats": kv_annual_stats,
     "kv_monthly_ranks": kv_monthly_ranks,
     "kv_monthly_means": kv_monthly_means,
@@ -350,6 +385,8 @@ REGISTERED: dict[str, Query] = {
     "kv_clusters_elbow": kv_clusters("elbow"),
     "kv_curve": kv_curve("silhouette"),
     "kv_curve_elbow": kv_curve("elbow"),
+    "kv_swept_clusters": kv_swept_clusters,
+    "kv_swept_curve": kv_swept_curve,
     "run_time_stats": run_time_stats,
     "run_log_roundtrip": run_log_roundtrip,
     "kv_run_times": kv_run_times,

@@ -198,16 +198,6 @@ def is_nearest(clustered: DataFrame, value: str) -> DataFrame:
     return rows.select(*[named(c) for c in clustered.columns], near.alias("nearest"))
 
 
-def recomputed(sweep: Sweep, features: DataFrame, value: str) -> DataFrame:
-    """Rows (k, wcss, silhouette) of the sweep's labels, scored anew."""
-    rows = []
-    for k, model in sorted(sweep.models.items()):
-        labelled = model.transform(features)
-        cost, quality = wcss_of(labelled, value).first().score, silhouette_of(labelled).first().score
-        rows.append((k, cost, quality))
-    return features.sparkSession.createDataFrame(rows, CURVE)
-
-
 def cluster_by_choice(
     features: DataFrame, entity: str, value: str, method: str, seeds: Sequence[int] = (1,)
 ) -> tuple[DataFrame, DataFrame]:

@@ -133,6 +133,66 @@ def _pairs(source: str, key: str, value: str) -> str:
     return f"SELECT {key} AS key, {value} AS value FROM ({source})"
 
 
+def _sweep(points: str) -> str:
+    """Common table expressions of the sweep over (entity, x): fits by seed and k, from the values that
+    come first by a hash, then labels, statistics of clusters, the best seed and the curve."""
+    return f"""
+  RECURSIVE points AS ({points}),
+  drawn AS (
+    SELECT seed, x, row_number() OVER (
+      PARTITION BY seed ORDER BY md5(seed || ':' || CAST(floor(x * 1000) AS BIGINT)), x) AS place
+    FROM (SELECT DISTINCT x FROM points), (VALUES (1), (2), (3)) AS seeds(seed)),
+  ks AS (SELECT CAST(unnest(range(2, least(15, (SELECT count(*) FROM points)) + 1)) AS INTEGER) AS k),
+  fit AS (
+    SELECT 0 AS pass, seed, k, list(x ORDER BY x) AS centers, true AS open
+    FROM drawn JOIN ks ON place <= k GROUP BY seed, k
+    UNION ALL
+    SELECT pass + 1, seed, k, moved,
+           list_max(list_transform(list_zip(centers, moved), lambda p: abs(p[1] - p[2]))) > 1e-4
+    FROM (
+      SELECT pass, seed, k, centers,
+             list_transform(centers, lambda c, i: coalesce(means[i], c)) AS moved
+      FROM (
+        SELECT pass, seed, k, centers, map_from_entries(list((label, mean))) AS means
+        FROM (
+          SELECT pass, seed, k, centers, list_position(ways, list_min(ways)) AS label, avg(x) AS mean
+          FROM (SELECT f.*, x, list_transform(centers, lambda c: abs(x - c)) AS ways
+                FROM fit f, points WHERE open AND pass < 20)
+          GROUP BY pass, seed, k, centers, label)
+        GROUP BY pass, seed, k, centers))),
+  final AS (SELECT seed, k, list_sort(arg_max(centers, pass)) AS centers FROM fit GROUP BY seed, k),
+  labels AS (
+    SELECT entity, x, seed, k, CAST(list_position(ways, list_min(ways)) - 1 AS INTEGER) AS cluster
+    FROM (SELECT entity, x, seed, k, list_transform(centers, lambda c: abs(x - c)) AS ways
+          FROM final, points)),
+  clusters AS (
+    SELECT seed, k, cluster, count(*) AS n, avg(x) AS mean, count(*) * var_pop(x) AS m2
+    FROM labels GROUP BY seed, k, cluster),
+  costs AS (SELECT seed, k, sum(m2) AS wcss, count(*) AS found FROM clusters GROUP BY seed, k),
+  best AS (
+    SELECT * FROM costs QUALIFY row_number() OVER (PARTITION BY k ORDER BY wcss, seed) = 1),
+  sides AS (
+    SELECT l.seed, l.k, l.entity,
+           max(CASE WHEN l.cluster = c.cluster THEN c.n END) AS own,
+           max(CASE WHEN l.cluster = c.cluster AND c.n > 1
+                    THEN (pow(x - mean, 2) + m2 / c.n) * c.n / (c.n - 1) END) AS a,
+           min(CASE WHEN l.cluster <> c.cluster THEN pow(x - mean, 2) + m2 / c.n END) AS b
+    FROM labels l JOIN best USING (seed, k) JOIN clusters c USING (seed, k)
+    GROUP BY l.seed, l.k, l.entity),
+  curve AS (
+    SELECT k, wcss, CASE WHEN found > 1 THEN silhouette END AS silhouette
+    FROM best JOIN (
+      SELECT seed, k, avg(CASE WHEN own = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END)
+             AS silhouette
+      FROM sides GROUP BY seed, k) USING (seed, k)),
+  ends AS (SELECT min(k) AS x1, arg_min(wcss, k) AS y1, max(k) AS xn, arg_max(wcss, k) AS yn FROM curve),
+  elbow AS (
+    SELECT k FROM curve, ends
+    ORDER BY abs((yn - y1) * k - (xn - x1) * wcss + xn * y1 - yn * x1) DESC, k LIMIT 1),
+  silhouette AS (SELECT k FROM curve ORDER BY silhouette DESC, k LIMIT 1)
+"""
+
+
 def expected_sql(centers: Sequence[float], year: int) -> dict[str, str]:
     means_exact = f"""
   SELECT user_id AS entity, avg(value) AS m1_mean FROM events
@@ -175,8 +235,20 @@ def expected_sql(centers: Sequence[float], year: int) -> dict[str, str]:
          round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS score
   FROM sides
 """
-    month_json = _json(["date"], ["m1_mean", "m2_mean", "year", "month"])
     clusters_json = _json((), ["entity", "m1_mean", "cluster"])
+    sweep = _sweep(f"SELECT entity, m1_mean AS x FROM ({means_exact})")
+    swept = {
+        method: f"""
+  WITH {sweep}
+  SELECT entity, round(x, 6) AS m1_mean, cluster
+  FROM labels JOIN best USING (seed, k) WHERE k = (SELECT k FROM {method})
+"""
+        for method in ("elbow", "silhouette")
+    }
+    swept_curve = f"""
+  WITH {sweep} SELECT k, round(wcss, 6) AS wcss, round(silhouette, 6) AS silhouette FROM curve
+"""
+    month_json = _json(["date"], ["m1_mean", "m2_mean", "year", "month"])
     hourly = f"""
   SELECT *, lpad(CAST(hour AS VARCHAR), 2, '0') AS hh,
          '2021-01-01T' || lpad(CAST(hour AS VARCHAR), 2, '0') || ':00:00Z' AS time
@@ -217,6 +289,13 @@ def expected_sql(centers: Sequence[float], year: int) -> dict[str, str]:
         "silhouette_sweep": every_k,
         "cluster_assignments": every_entity,
         "cluster_assignments_silhouette": every_entity,
+        "lloyd_sweep": swept_curve,
+        "lloyd_clusters_elbow": swept["elbow"],
+        "lloyd_clusters_silhouette": swept["silhouette"],
+        "kv_swept_clusters": _pairs(
+            swept["silhouette"], "'clustering:silhouette:' || entity", clusters_json
+        ),
+        "kv_swept_curve": _pairs(swept_curve, "'elbow:' || k", _json((), ["k", "wcss"])),
         "wcss_given_labels": wcss,
         "silhouette_given_labels": silhouette,
         "elbow_select": ELBOW,
