@@ -6,6 +6,7 @@ order of a floating-point sum differs between engines.
 
 from __future__ import annotations
 
+import datetime
 import os
 import sys
 from collections.abc import Callable
@@ -17,10 +18,11 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from wattloom.functions.naming import named  # noqa: E402
-from wattloom.operators import clustering, lloyd, prep, profiles, ranking, runs, summary  # noqa: E402
+from wattloom.operators import clustering, lloyd, prep, profiles, quantiles, ranking, runs  # noqa: E402
+from wattloom.operators import states, summary  # noqa: E402
 from wattloom.plans import families, sql_text  # noqa: E402
 from wattloom.session import fresh_folder, shared_dir, ship_package, use_utc  # noqa: E402
-from wattloom.sinks import files  # noqa: E402
+from wattloom.sinks import batches, delta, files  # noqa: E402
 from wattloom.sources import scans, tables  # noqa: E402
 from wattloom.sources.tables import MEANS, METRICS  # noqa: E402
 
@@ -29,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SMOKE_DIR = "/root/testdata/sf0.001"
 CLUSTER_YEAR = 2024
 CENTERS = (30.0, 40.0, 45.0, 50.0, 55.0, 60.0, 70.0)
+CORRECTED_DAY = datetime.date(2024, 1, 15)
 PLACES = 6
 
 
@@ -53,6 +56,41 @@ def prep_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
 
 
+def raw_files(spark: SparkSession, sf_dir: str, root: str, name: str, part: int, parts: int) -> None:
+    """One of several parts of the events as a raw file of its own."""
+    events = tables.table(spark, sf_dir, "events").where(F.col("event_id") % parts == part)
+    shapes = {
+        "numbers": events,
+        "texts": events.withColumn("value", F.col("value").cast("string")).withColumnRenamed("user_id", "_u"),
+        "bare": events.drop("props"),
+    }
+    shapes[name].write.parquet(f"{root}/zone/{name}{part}")
+
+
+def prep_mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files with numbers, with the same numbers as texts, and without a column."""
+    root = fresh_folder(spark, "raw")
+    for part, name in enumerate(("numbers", "texts", "bare")):
+        raw_files(spark, sf_dir, root, name, part, 3)
+    readings = tables.event_readings_of(scans.read_mixed(spark, root, tables.TYPES["events"]))
+    return readings.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+
+
+def incremental_prep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of prep: the second one reads only the raw files that came after the first."""
+    raw, root = fresh_folder(spark, "raw"), fresh_folder(spark, "readings")
+
+    def read(paths: list[str]) -> DataFrame:
+        return tables.event_readings_of(scans.read_files(spark, paths, tables.TYPES["events"]))
+
+    for part in range(2):
+        raw_files(spark, sf_dir, raw, "numbers", part, 2)
+        batches.add_new_files(spark, scans.raw_pattern(raw), root, "entity", read)
+    schema = tables.event_readings(spark, sf_dir).schema
+    readings = batches.read_batches(spark, root, schema).select(*schema.names)
+    return readings.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+
+
 def drop_if_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.drop_if_exists(tables.table(spark, sf_dir, "events"), ("props", "Zone_name"))
 
@@ -165,6 +203,35 @@ def hourly_quartiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(summary.approx_quartiles(means_by_hour(spark, sf_dir), "entity", MEANS))
 
 
+def event_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of all readings, stored with one day left out, which is then counted alone."""
+    readings = tables.event_readings(spark, sf_dir)
+    root, day = fresh_folder(spark, "states"), CORRECTED_DAY
+    found = states.states(readings, "entity", METRICS)
+    on_day = (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
+    states.write_states(found.where(~on_day), root)
+    states.replace_days(readings, root, "entity", METRICS, [day])
+    return states.read_states(spark, root, states.with_day(found).schema)
+
+
+def state_annual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(states.annual(event_states(spark, sf_dir), METRICS))
+
+
+def state_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(states.monthly(event_states(spark, sf_dir), METRICS))
+
+
+def state_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(states.hourly(event_states(spark, sf_dir), METRICS))
+
+
+def reading_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quartiles of the readings themselves, of which an entity may have any number."""
+    readings = tables.event_readings(spark, sf_dir)
+    return rounded(quantiles.reading_quartiles(readings, "entity", METRICS))
+
+
 # --- clustering -----------------------------------------------------------------------------
 
 
@@ -281,6 +348,23 @@ def kv_annual_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return families.kv_annual_stats(annual_stats(spark, sf_dir), "entity")
 
 
+def kv_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a second publish of the annual statistics sends, after one of an earlier state: the
+    shipments before July 1996, when those before 1993 were still kept."""
+    readings = tables.shipment_readings(spark, sf_dir)
+    pairs = [
+        families.kv_annual_stats(rounded(profiles.annual_stats(some, "entity", METRICS)), "entity")
+        for some in (
+            readings.where(F.col("datetime") < F.lit(datetime.datetime(1996, 7, 1))),
+            readings.where(F.col("datetime") >= F.lit(datetime.datetime(1993, 1, 1))),
+        )
+    ]
+    root, sent = fresh_folder(spark, "published"), fresh_folder(spark, "sent")
+    for number, new in enumerate(pairs):
+        delta.publish_changes(new, root, lambda rows: rows.write.parquet(f"{sent}/{number}"))
+    return spark.read.schema("key string, value string, change string").parquet(f"{sent}/1")
+
+
 def kv_monthly_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return families.kv_monthly_ranks(monthly_top5(spark, sf_dir), scope="all")
 
@@ -326,6 +410,16 @@ def run_time_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(runs.run_time_stats(tables.shipment_runs(spark, sf_dir)))
 
 
+def merged_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run times logged in four goes, each as moments, and merged."""
+    measured = tables.shipment_runs(spark, sf_dir)
+    root = fresh_folder(spark, "run-parts")
+    for part in range(4):
+        some = measured.where(F.floor("seconds").cast("int") % 4 == part)
+        files.append_run_part(runs.run_parts(some), root)
+    return rounded(runs.merged_run_stats(scans.read_run_parts(spark, root)))
+
+
 def run_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean per (query, variant, executors), logged as nested CSV files and read back."""
     stats = runs.run_time_stats(tables.shipment_runs(spark, sf_dir))
@@ -341,6 +435,8 @@ def kv_run_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTERED: dict[str, Query] = {
     "prep_readings": prep_readings,
+    "prep_mixed_shapes": prep_mixed_shapes,
+    "incremental_prep": incremental_prep,
     "drop_if_exists": drop_if_exists,
     "scan_entity_subset": scan_entity_subset,
     "scan_single_entity": scan_single_entity,
@@ -362,6 +458,10 @@ REGISTERED: dict[str, Query] = {
     "hourly_five_number": hourly_five_number,
     "hourly_five_number_sql": hourly_five_number_sql,
     "hourly_quartiles_approx": hourly_quartiles_approx,
+    "state_annual": state_annual,
+    "state_monthly": state_monthly,
+    "state_hourly": state_hourly,
+    "reading_quartiles": reading_quartiles,
     "entity_year_mean": entity_year_mean,
     "kmeans_features": kmeans_features,
     "nearest_center_assign": nearest_center_assign,
@@ -377,6 +477,7 @@ REGISTERED: dict[str, Query] = {
     "lloyd_clusters_elbow": lloyd_clusters("elbow"),
     "lloyd_clusters_silhouette": lloyd_clusters("silhouette"),
     "kv_annual_stats": kv_annual_stats,
+    "kv_delta": kv_delta,
     "kv_monthly_ranks": kv_monthly_ranks,
     "kv_monthly_means": kv_monthly_means,
     "kv_hourly_stats": kv_hourly_stats,
@@ -388,6 +489,7 @@ REGISTERED: dict[str, Query] = {
     "kv_swept_clusters": kv_swept_clusters,
     "kv_swept_curve": kv_swept_curve,
     "run_time_stats": run_time_stats,
+    "merged_run_stats": merged_run_stats,
     "run_log_roundtrip": run_log_roundtrip,
     "kv_run_times": kv_run_times,
 }

@@ -5,10 +5,12 @@ Run with ``spark-submit`` or ``python -m wattloom.jobs``:
     prep     --raw ROOT --readings ROOT
     annual   --readings ROOT --results ROOT        (likewise monthly, hourly)
     clusters --readings ROOT --results ROOT --method elbow|silhouette [--year 2024] [--seeds 1 2]
-    publish  --results ROOT --pairs ROOT [--runs ROOT]
+    publish  --results ROOT --pairs ROOT [--runs ROOT] [--state ROOT]
 
-A job prints what it wrote with ``--show ROWS``. A question job logs its own run time under
-``--runs ROOT``, which ``publish --runs ROOT`` reads, and takes ``--form sql`` for its SQL text.
+A job prints what it wrote with ``--show ROWS``. A question job runs ``--repeat`` times and logs its run
+times under ``--runs ROOT``, which ``publish --runs ROOT`` reads, and takes ``--form sql`` for its SQL
+text. ``prep --incremental`` reads only raw files that are new; ``clusters --fit lloyd`` fits all k in the
+same passes; ``publish --state ROOT`` writes only what has changed since the last time.
 
 Readings, results and pairs have a root each, so none is overwritten with another. A result that
 feeds a second one is read back from where it was written, so the readings are scanned once.
@@ -26,9 +28,19 @@ from pyspark.sql import DataFrame, SparkSession
 from wattloom.operators import profiles, runs
 from wattloom.plans import families, questions
 from wattloom.session import build_session
-from wattloom.sinks.files import show, write_readings, write_result, write_run_log
+from wattloom.sinks import batches, versions
+from wattloom.sinks.delta import publish_changes
+from wattloom.sinks.files import append_run_part, show, write_readings, write_result, write_run_log
 from wattloom.sources import electricity as names
-from wattloom.sources.scans import read_raw, read_readings, read_result, read_run_log
+from wattloom.sources.scans import (
+    raw_pattern,
+    read_files,
+    read_mixed,
+    read_readings,
+    read_result,
+    read_run_log,
+    read_run_parts,
+)
 
 log = logging.getLogger(__name__)
 
@@ -37,10 +49,25 @@ METHODS = ("elbow", "silhouette")
 
 
 def prep(spark: SparkSession, raw: str, readings: str) -> None:
-    write_readings(questions.clean(read_raw(spark, raw)), readings, "country")
+    """All raw files, whatever their columns and types; none leave empty readings."""
+    write_readings(questions.clean(read_mixed(spark, raw, names.RAW_TYPES)), readings, "country")
+
+
+def prep_new(spark: SparkSession, raw: str, readings: str) -> list[str]:
+    """The raw files that no batch of the readings has yet; their paths."""
+
+    def read(paths: Sequence[str]) -> DataFrame:
+        return questions.clean(read_files(spark, paths, names.RAW_TYPES))
+
+    paths = batches.add_new_files(spark, raw_pattern(raw), readings, "country", read)
+    log.info("%d raw files read", len(paths))
+    return paths
 
 
 def load(spark: SparkSession, readings: str) -> DataFrame:
+    """The readings that either prep wrote."""
+    if versions.latest(spark, f"{readings}/manifest"):
+        return batches.read_batches(spark, readings, names.READINGS_SCHEMA)
     return read_readings(spark, readings, names.READINGS_SCHEMA)
 
 
@@ -85,19 +112,27 @@ def clusters(
     method: str,
     year: int = names.CLUSTER_YEAR,
     seeds: Sequence[int] = (1,),
+    fit: str = "mllib",
 ) -> None:
     features = questions.cluster_features(load(spark, readings), year)
-    found, curve = questions.clusters(features, method, seeds)
+    found, curve = questions.clusters(features, method, seeds, fit)
     order = ("cluster_prediction", "avg_carbon_intensity")
     write_result(found, f"{results}/clusters_{method}", order_by=order)
     write_result(curve, f"{results}/curve_{method}", order_by=("k",))
 
 
-def log_run(spark: SparkSession, root: str, job: str, form: str, seconds: float) -> None:
-    """Log one run; a rerun of the same job, form and number of executors replaces it."""
-    executors = int(spark.conf.get("spark.executor.instances", "1"))
-    run = runs.measured_runs(spark, job, form, executors, [seconds])
-    write_run_log(runs.run_log_rows(runs.run_time_stats(run)), root)
+def executor_count(spark: SparkSession) -> int:
+    """Executors alive, the driver not counted; 1 where the driver runs the tasks."""
+    return max(1, spark.sparkContext._jsc.sc().getExecutorMemoryStatus().size() - 1)
+
+
+def log_runs(spark: SparkSession, root: str, job: str, form: str, seconds: Sequence[float]) -> None:
+    """Add runs to those of the same job, form and number of executors, and log the mean of all."""
+    measured = runs.measured_runs(spark, job, form, executor_count(spark), seconds)
+    append_run_part(runs.run_parts(measured), root)
+    stats = runs.merged_run_stats(read_run_parts(spark, root))
+    same = stats.join(measured.select(*runs.RUN_KEYS).distinct(), list(runs.RUN_KEYS), "left_semi")
+    write_run_log(runs.run_log_rows(same), root)
 
 
 def result_pairs(
@@ -135,6 +170,9 @@ def result_pairs(
         )
     if run_log:
         pairs["runs"] = lambda: families.kv_run_times(read_run_log(spark, run_log))
+        pairs["run_stats"] = lambda: families.kv_run_stats(
+            runs.merged_run_stats(read_run_parts(spark, run_log))
+        )
     return pairs
 
 
@@ -167,6 +205,15 @@ def write_pairs(root: str) -> Callable[[str, DataFrame], None]:
     return send
 
 
+def only_changes(send: Callable[[str, DataFrame], None], state: str) -> Callable[[str, DataFrame], None]:
+    """Send rows (key, value, change) against what was sent before, kept under ``state``."""
+
+    def send_changes(name: str, pairs: DataFrame) -> None:
+        publish_changes(pairs, f"{state}/{name}", lambda delta: send(name, delta))
+
+    return send_changes
+
+
 def written(job: str, method: str) -> dict[str, str]:
     """Folder and schema of each result of a question job."""
     return {
@@ -196,6 +243,10 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--results")
     parser.add_argument("--pairs")
     parser.add_argument("--runs")
+    parser.add_argument("--state")
+    parser.add_argument("--incremental", action="store_true")
+    parser.add_argument("--repeat", type=int, default=1, metavar="N")
+    parser.add_argument("--fit", choices=("mllib", "lloyd"), default="mllib")
     parser.add_argument("--method", choices=METHODS, default="elbow")
     parser.add_argument("--year", type=int, default=names.CLUSTER_YEAR)
     parser.add_argument("--seeds", type=int, nargs="+", default=[1])
@@ -204,24 +255,30 @@ def main(arguments: list[str] | None = None) -> None:
     options = parser.parse_args(arguments)
     spark = build_session(f"wattloom-{options.job}")
     if options.job == "prep":
-        prep(spark, options.raw, options.readings)
+        (prep_new if options.incremental else prep)(spark, options.raw, options.readings)
         if options.show:
             prep_report(spark, options.readings, options.show)
     elif options.job == "publish":
-        failed = publish(spark, options.results, write_pairs(options.pairs), options.runs)
+        send = write_pairs(options.pairs)
+        if options.state:
+            send = only_changes(send, options.state)
+        failed = publish(spark, options.results, send, options.runs)
         if failed:
             raise SystemExit(f"not published: {', '.join(failed)}")
     else:
         form = options.method if options.job == "clusters" else options.form
-        began = time.perf_counter()
-        if options.job == "clusters":
+        seconds = []
+        for _ in range(options.repeat):
+            began = time.perf_counter()
             where = (options.readings, options.results)
-            clusters(spark, *where, options.method, options.year, options.seeds)
-        else:
-            job = {"annual": annual, "monthly": monthly, "hourly": hourly}[options.job]
-            job(spark, options.readings, options.results, options.form)
+            if options.job == "clusters":
+                clusters(spark, *where, options.method, options.year, options.seeds, options.fit)
+            else:
+                job = {"annual": annual, "monthly": monthly, "hourly": hourly}[options.job]
+                job(spark, *where, options.form)
+            seconds.append(time.perf_counter() - began)
         if options.runs:
-            log_run(spark, options.runs, options.job, form, time.perf_counter() - began)
+            log_runs(spark, options.runs, options.job, form, seconds)
         if options.show:
             for name, schema in written(options.job, options.method).items():
                 show(read_result(spark, f"{options.results}/{name}", schema), options.show)

@@ -60,18 +60,28 @@ def first_values(features: DataFrame, value: str, n: int, seeds: Sequence[int])
     return found
 
 
-def literal(fits: Mapping[Fit, Sequence[float]]) -> Column:
-    """The fits as one array literal: a pass's plan holds it as a value, so all passes share code."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(seed).alias("seed"),
-                F.lit(k).alias("k"),
-                F.array(*[F.lit(float(c)) for c in centers]).alias("centers"),
-            )
-            for (seed, k), centers in fits.items()
-        ]
-    )
+def numbers(values: Sequence[float]) -> str:
+    return f"array({', '.join(f'{float(v)!r}D' for v in values)})"
+
+
+def literal(
+    fits: Mapping[Fit, Sequence[float]], clusters: Mapping[Fit, Sequence[Mapping]] | None = None
+) -> Column:
+    """The fits, and the statistics of their clusters if given, as one array literal. A pass's plan
+    holds it as a value, so all passes share their code; SQL text names hundreds of numbers at once."""
+
+    def of_clusters(rows: Sequence[Mapping]) -> str:
+        return ", ".join(
+            f"named_struct('cluster', {r['cluster']}, 'n', {float(r['n'])!r}D,"
+            f" 'mean', {r['mean']!r}D, 'm2', {r['m2']!r}D)"
+            for r in rows
+        )
+
+    structs = []
+    for fit, centers in fits.items():
+        more = f", 'clusters', array({of_clusters(clusters[fit])})" if clusters else ""
+        structs.append(f"named_struct('seed', {fit[0]}, 'k', {fit[1]}, 'centers', {numbers(centers)}{more})")
+    return F.expr(f"array({', '.join(structs)})")
 
 
 def nearest(x: Column, centers: Column) -> Column:
@@ -136,26 +146,25 @@ def silhouettes(
     if not scored:
         return {}
     x = named(value)
-    every = F.array(
-        *[
-            F.struct(
-                F.lit(fit[0]).alias("seed"),
-                F.lit(fit[1]).alias("k"),
-                F.array(*[F.lit(float(c)) for c in fits[fit]]).alias("centers"),
-                statistics.literal_clusters(rows).alias("clusters"),
-            )
-            for fit, rows in scored.items()
-        ]
-    )
-    scores = F.transform(
-        every,
+    own_cluster = F.transform(
+        literal({fit: fits[fit] for fit in scored}, scored),
         lambda f: F.struct(
             f["seed"].alias("seed"),
             f["k"].alias("k"),
-            statistics.point_silhouette(x, nearest(x, f["centers"]), f["clusters"]).alias("score"),
+            nearest(x, f["centers"]).alias("own"),
+            f["clusters"].alias("clusters"),
         ),
     )
-    points = features.select(F.explode(scores).alias("f")).select("f.*")
+    # Step by step, so that no step is worked out again for each use in the next one.
+    rows = features.select(x.alias("x"), F.explode(own_cluster).alias("f")).select("x", "f.*")
+    ways = statistics.cluster_distances(F.col("x"), F.col("own"), F.col("clusters"))
+    rows = rows.select("seed", "k", ways.alias("ways")).select(
+        "seed",
+        "k",
+        statistics.least_way(F.col("ways"), True).alias("a"),
+        statistics.least_way(F.col("ways"), False).alias("b"),
+    )
+    points = rows.select("seed", "k", statistics.silhouette(F.col("a"), F.col("b")).alias("score"))
     means = points.groupBy("seed", "k").agg(F.avg("score").alias("score")).collect()
     return {(r.seed, r.k): r.score for r in means}
 
@@ -209,6 +218,5 @@ def cluster_by_choice(
     if not sweep.centers:
         return no_clusters(features, entity, value), curve
     k = (silhouette_select if with_silhouette else elbow_select)(curve).first().k
-    centers = F.array(*[F.lit(float(c)) for c in sweep.centers[k]])
-    own = nearest(named(value), centers).cast("int").alias("cluster")
+    own = nearest(named(value), F.expr(numbers(sweep.centers[k]))).cast("int").alias("cluster")
     return features.select(entity, value, own).orderBy("cluster", value), curve

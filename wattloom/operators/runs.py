@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattloom.operators import statistics
+
 RUN_KEYS = ("query_name", "query_type", "num_executors")
 
 
@@ -35,6 +37,22 @@ def run_time_stats(runs: DataFrame, seconds: str = "seconds") -> DataFrame:
     )
 
 
+def run_parts(runs: DataFrame, seconds: str = "seconds") -> DataFrame:
+    """Runs as rows that later ones merge with: count, mean and squared deviations."""
+    return statistics.moments(runs, seconds, RUN_KEYS)
+
+
+def merged_run_stats(parts: DataFrame) -> DataFrame:
+    """``run_time_stats`` of all runs of all parts."""
+    n, m2 = F.col("n"), F.col("m2")
+    return statistics.merged(parts, RUN_KEYS).select(
+        *RUN_KEYS,
+        n.alias("runs"),
+        F.col("mean").alias("mean_seconds"),
+        F.when(n > 1, F.sqrt(m2 / (n - 1))).alias("stddev_seconds"),
+    )
+
+
 def run_log_rows(stats: DataFrame) -> DataFrame:
     """The logged row per (query, variant, executors): the mean, to four places."""
     return stats.select(

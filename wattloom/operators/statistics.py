@@ -7,7 +7,7 @@ were summarised apart are enough. Cost and silhouette of clusters follow from su
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,34 +49,36 @@ def merged(parts: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def point_silhouette(x: Column, own: Column, clusters: Column) -> Column:
-    """The silhouette of one value with squared distances, from an array of (cluster, n, mean, m2).
+def cluster_distances(x: Column, own: Column, clusters: Column) -> Column:
+    """Mean squared distances of a value as an array of (mine, way), from one of (cluster, n, mean, m2).
 
-    The mean squared distance to a cluster is that to its mean plus its mean squared deviation. A
-    value alone in its cluster, or without another cluster, has 0.
+    The mean squared distance to a cluster is that to its mean plus its mean squared deviation; to the
+    own cluster it is taken over the others there, and NULL if there are none.
     """
 
-    def away(c: Column) -> Column:
-        return (x - c["mean"]) * (x - c["mean"]) + c["m2"] / c["n"]
-
-    mine = F.filter(clusters, lambda c: c["cluster"] == own)[0]
-    a = away(mine) * mine["n"] / (mine["n"] - 1)
-    b = F.array_min(F.transform(F.filter(clusters, lambda c: c["cluster"] != own), away))
-    both = F.when(mine["n"] > 1, F.struct(a.alias("a"), b.alias("b")))
-    widest = F.greatest(both["a"], both["b"])
-    return F.when(both.isNull() | b.isNull() | (widest == 0), 0.0).otherwise((both["b"] - both["a"]) / widest)
-
-
-def literal_clusters(rows: Sequence[Mapping]) -> Column:
-    """Rows with cluster, n, mean and m2 as an array literal."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(int(r["cluster"])).alias("cluster"),
-                F.lit(float(r["n"])).alias("n"),
-                F.lit(float(r["mean"])).alias("mean"),
-                F.lit(float(r["m2"])).alias("m2"),
-            )
-            for r in rows
-        ]
+    def way(c: Column) -> Column:
+        offset = x - c["mean"]
+        return offset * offset + c["m2"] / c["n"]
+
+    return F.transform(
+        clusters,
+        lambda c: F.struct(
+            (c["cluster"] == own).alias("mine"),
+            F.when(c["cluster"] != own, way(c))
+            .when(c["n"] > 1, way(c) * c["n"] / (c["n"] - 1))
+            .alias("way"),
+        ),
     )
+
+
+def least_way(distances: Column, mine: bool) -> Column:
+    return F.array_min(
+        F.transform(F.filter(distances, lambda d: d["mine"] == F.lit(mine)), lambda d: d["way"])
+    )
+
+
+def silhouette(own: Column, other: Column) -> Column:
+    """From the distances to the own and to the nearest other cluster; 0 where one is not there."""
+    widest = F.greatest(own, other)
+    absent = own.isNull() | other.isNull() | (widest == 0)
+    return F.when(absent, 0.0).otherwise((other - own) / widest)

@@ -30,6 +30,14 @@ ANNUAL = f"""
   FROM ({SHIPMENTS}) GROUP BY year, entity
 """
 
+def _annual(source: str) -> str:
+    return ANNUAL.replace(SHIPMENTS, source)
+
+
+def _monthly(source: str) -> str:
+    return MONTHLY.replace(SHIPMENTS, source)
+
+
 MONTHLY_EXACT = f"""
   SELECT CAST(year AS VARCHAR) || '_' || lpad(CAST(month AS VARCHAR), 2, '0') AS date,
          avg(m1) AS m1_mean, avg(m2) AS m2_mean, year, month
@@ -119,6 +127,25 @@ RUN_LOG = f"""
 """
 
 
+READING_QUARTILES = " UNION ALL ".join(
+    f"""
+  SELECT entity, '{tag}' AS data, count({tag}) AS n, round(min({tag}), 6) + 0.0 AS "min",
+         round(quantile_cont({tag}, 0.25), 6) + 0.0 AS "25-perc",
+         round(quantile_cont({tag}, 0.5), 6) + 0.0 AS "50-perc",
+         round(quantile_cont({tag}, 0.75), 6) + 0.0 AS "75-perc",
+         round(max({tag}), 6) + 0.0 AS "max"
+  FROM ({EVENTS}) WHERE {tag} IS NOT NULL GROUP BY entity
+"""
+    for tag in ("m1", "m2")
+)
+
+# The third file has no column props.
+MIXED = f"""
+  SELECT datetime, entity, m1, CASE WHEN id % 3 <> 2 THEN m2 END AS m2, year, month, day, hour
+  FROM ({EVENTS.replace("SELECT ts", "SELECT event_id AS id, ts")})
+"""
+
+
 def _json(text: Sequence[str] = (), numbers: Sequence[str] = (), order: Sequence[str] = ()) -> str:
     """A JSON object of text and number columns, without spaces, in the given order."""
     fields = []
@@ -247,6 +274,20 @@ def expected_sql(centers: Sequence[float], year: int) -> dict[str, str]:
     }
     swept_curve = f"""
   WITH {sweep} SELECT k, round(wcss, 6) AS wcss, round(silhouette, 6) AS silhouette FROM curve
+"""
+    annual_json = _json(
+        ["entity"],
+        order=["date", "entity", "m1_mean", "m1_min", "m1_max", "m2_mean", "m2_min", "m2_max"],
+    )
+    before, after = (
+        _pairs(_annual(f"{SHIPMENTS} WHERE {which}"), "'q1:' || date || ':' || entity", annual_json)
+        for which in ("l_shipdate < '1996-07-01'", "l_shipdate >= '1993-01-01'")
+    )
+    changed = f"""
+  SELECT coalesce(n.key, o.key) AS key, n.value AS value,
+         CASE WHEN n.key IS NULL THEN 'delete' ELSE 'set' END AS change
+  FROM ({after}) n FULL JOIN ({before}) o ON n.key = o.key
+  WHERE n.key IS NULL OR o.key IS NULL OR n.value <> o.value
 """
     month_json = _json(["date"], ["m1_mean", "m2_mean", "year", "month"])
     hourly = f"""
@@ -257,6 +298,16 @@ def expected_sql(centers: Sequence[float], year: int) -> dict[str, str]:
     points = f"SELECT k, round(m1_mean, 6) AS score FROM ({CURVE})"
     return {
         "prep_readings": EVENTS,
+        "prep_mixed_shapes": MIXED,
+        "incremental_prep": EVENTS,
+        "state_annual": _annual(EVENTS),
+        "state_monthly": _monthly(EVENTS),
+        "state_hourly": PROFILE,
+        "reading_quartiles": READING_QUARTILES,
+        "kv_delta": changed,
+        "merged_run_stats": f"""
+  SELECT query_name, query_type, num_executors, runs, round(mean_seconds, 6) AS mean_seconds,
+         round(stddev_seconds, 6) AS stddev_seconds FROM ({RUN_STATS})""",
         "drop_if_exists": "SELECT event_id, ts, user_id, event_type, value FROM events",
         "scan_entity_subset": f"""
   SELECT entity, year, month, m1, m2 FROM ({SHIPMENTS}) WHERE entity IN ('A', 'R')""",

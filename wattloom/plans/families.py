@@ -1,4 +1,4 @@
-"""The ten families of published keys.
+"""The ten families of published keys, and one for the spread of run times.
 
 Fixed values: key prefixes and patterns. ``scope`` names the single entity of the monthly results.
 """
@@ -52,3 +52,15 @@ def kv_curve(curve: DataFrame, method: str) -> DataFrame:
 def kv_run_times(runs: DataFrame) -> DataFrame:
     keys = ("query_name", "query_type", "num_executors")
     return to_key_value(runs, "performance", [F.col(c) for c in keys])
+
+
+def kv_run_stats(stats: DataFrame) -> DataFrame:
+    """Number, mean and deviation of the runs, to four places."""
+    keys = ("query_name", "query_type", "num_executors")
+    rows = stats.select(
+        *keys,
+        "runs",
+        F.round("mean_seconds", 4).alias("mean_seconds"),
+        F.round("stddev_seconds", 4).alias("stddev_seconds"),
+    )
+    return to_key_value(rows, "performance_stats", [F.col(c) for c in keys], drop=keys)

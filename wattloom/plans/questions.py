@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.operators import clustering, prep, profiles, ranking, summary
+from wattloom.operators import clustering, lloyd, prep, profiles, ranking, summary
 from wattloom.plans import sql_text
 from wattloom.sources import electricity as names
 from wattloom.sources.scans import entity_subset, single_entity
@@ -88,12 +88,12 @@ def cluster_features(readings: DataFrame, year: int = names.CLUSTER_YEAR) -> Dat
 
 
 def clusters(
-    features: DataFrame, method: str, seeds: Sequence[int] = (1,)
+    features: DataFrame, method: str, seeds: Sequence[int] = (1,), fit: str = "mllib"
 ) -> tuple[DataFrame, DataFrame]:
-    """Clusters and tuning curve, with k chosen by ``elbow`` or ``silhouette``."""
-    found, curve = clustering.cluster_by_choice(
-        features, "country_code", "avg_carbon_intensity", method, seeds
-    )
+    """Clusters and tuning curve, with k chosen by ``elbow`` or ``silhouette``; ``fit`` is ``mllib``
+    or ``lloyd``, the sweep that takes all k and seeds in the same passes."""
+    choose = lloyd.cluster_by_choice if fit == "lloyd" else clustering.cluster_by_choice
+    found, curve = choose(features, "country_code", "avg_carbon_intensity", method, seeds)
     return (
         found.withColumnRenamed("cluster", "cluster_prediction"),
         curve.withColumnRenamed("silhouette", "silhouette_score").orderBy("k"),

@@ -26,6 +26,12 @@ RAW_DROP = (
     "Data_estimation_method",
 )
 
+RAW_TYPES = {
+    RAW_TIME: "timestamp",
+    **{name: "string" for name in RAW_KEEP.values()},
+    **{name: "double" for name in RAW_METRICS.values()},
+}
+
 READINGS_SCHEMA = (
     "datetime timestamp, country_code string, carbon_intensity double,"
     " carbon_free_percentage double, year int, month int, day int, hour int, country string"

@@ -27,6 +27,8 @@ SCHEMAS = {
     ),
 }
 
+TYPES = {name: dict(c.split() for c in schema.split(", ")) for name, schema in SCHEMAS.items()}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table under its known schema, which spares a job that reads footers to infer it."""
