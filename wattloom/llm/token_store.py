@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -41,8 +42,10 @@ INDEX = np.dtype(
 DICTIONARY_BYTES = 64 * 1024
 SAMPLE_DOCUMENTS = 512
 SAMPLE_CHARS = 16_384
-LEVEL = 6
-KNOWN_PIECES = 600_000
+LEVEL = 3
+KNOWN_PIECES = 250_000
+#: Rows that are encoded before their frames are handed on.
+SLICE = 512
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
@@ -81,9 +84,10 @@ class Encoder:
             if len(known) + len(new) > KNOWN_PIECES:
                 known.clear()
                 new = list(set(found))
+            tokenize, chars, packed = self.tokenizer.model.tokenize, self.byte_chars, self.packed
             for piece in new:
-                symbols = piece.encode().decode("latin-1").translate(self.byte_chars)
-                known[piece] = self.packed([t.id for t in self.tokenizer.model.tokenize(symbols)])
+                symbols = piece.encode().decode("latin-1").translate(chars)
+                known[piece] = packed([token.id for token in tokenize(symbols)])
         return b"".join(map(known.__getitem__, found))
 
     def encode(self, text: str) -> bytes:
@@ -107,10 +111,16 @@ def is_latin(text: str) -> bool:
     return True
 
 
-def piece_pattern(spec: dict):
-    """The pattern that cuts a text into pieces, if the tokenizer does just that and no more."""
-    import regex
+# What the classes of a pattern hold within Latin-1, for use inside brackets.
+LATIN_CLASSES = {
+    r"\p{L}": "A-Za-zªµºÀ-ÖØ-öø-ÿ",
+    r"\p{N}": "0-9²³¹¼-¾",
+    r"\s": "\t-\r \x85\xa0",
+}
+
 
+def piece_pattern(spec: dict):
+    """The pattern that cuts a text of Latin-1 into pieces, if the tokenizer does just that."""
     model, cut = spec["model"], spec.get("pre_tokenizer") or {}
     steps = cut.get("pretokenizers") or []
     changes = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers") or []]
@@ -125,7 +135,12 @@ def piece_pattern(spec: dict):
         and not steps[1].get("use_regex")
         and spec.get("post_processor") is None
     )
-    return regex.compile(steps[0]["pattern"]["Regex"]) if simple else None
+    if not simple:
+        return None
+    pattern = steps[0]["pattern"]["Regex"]
+    for name, members in LATIN_CLASSES.items():
+        pattern = pattern.replace(name, members)
+    return re.compile(pattern)
 
 
 def byte_characters() -> dict[int, str]:
@@ -191,13 +206,15 @@ def frames(
         known = zstandard.ZstdCompressionDict(shared.value) if shared.value else None
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=known)
         for batch in batches:
-            counts, packed = [], []
-            for value in batch.column(1):
-                ids = own.encode(value.as_py() or "") + end
-                counts.append(len(ids) // own.width)
-                packed.append(packer.compress(ids))
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "frame"])
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                counts, packed = [], []
+                for value in part.column(1):
+                    ids = own.encode(value.as_py() or "") + end
+                    counts.append(len(ids) // own.width)
+                    packed.append(packer.compress(ids))
+                columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(packed, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "frame"])
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(encode, "doc_id long, n_tokens long, frame binary")
@@ -244,6 +261,7 @@ def write_store(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        encoder.cache_clear()  # a worker that has encoded before needs it no more
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
@@ -314,6 +332,7 @@ def read_store(store: Store) -> DataFrame:
     found = "doc_id long, start long, n_tokens long, ids_crc32 long, file string, position long"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder.cache_clear()
         for batch in batches:
             for row in batch.to_pylist():
                 tokens = TokenFile(folder, row["file"])
