@@ -42,6 +42,11 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("_key_a"), F.xxhash64(F.lit(1), text).alias("_key_b")]
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one, ``row``, beside which no name of a step can clash with one of theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

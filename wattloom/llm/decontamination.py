@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import saved, text_key, word_array
+from wattloom.llm.common import saved, text_key, whole_row, word_array
 
 # The counted positions of each mask.
 MASKS = ((0, 1, 2, 3, 4, 6), (0, 1, 2, 4, 7, 8), (0, 1, 3, 5, 6, 7))
@@ -160,7 +160,5 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "tex
     not matter, and equal rows share their lot."""
     found = overlaps(docs, benchmark, text_key(F.col(text)), text=text, **options)
     bad = found.select(F.col("_keep0").alias("_key_a"), F.col("_keep1").alias("_key_b")).distinct()
-    keyed = docs.select("*", *text_key(F.col(text)))
-    return keyed.join(bad, ["_key_a", "_key_b"], "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    keyed = docs.select(whole_row(docs), *text_key(F.col(text)))
+    return keyed.join(bad, ["_key_a", "_key_b"], "left_anti").select("row.*")

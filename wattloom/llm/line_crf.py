@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattloom.llm.common import whole_row
+
 SYMBOLS = b"#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -311,6 +313,6 @@ def assess(
 
 def kept_documents(docs: DataFrame, model: Model, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns."""
-    whole = docs.select("*", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    judged = assess(whole, model, ("_row",), text, **options)
-    return judged.where("kept").select("_row.*")
+    whole = docs.select(whole_row(docs), F.col(text).alias("text"))
+    judged = assess(whole, model, ("row",), "text", **options)
+    return judged.where("kept").select("row.*")

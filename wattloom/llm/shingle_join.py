@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import saved, small
+from wattloom.llm.common import saved, small, whole_row
 from wattloom.llm.graph import components
 
 WORDS = 4
@@ -380,9 +380,10 @@ def one_of_each(
     kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("text_hash") == F.col("keep_hash"))
     judged = saved(rows.join(keep, ["key", "n"]).withColumn("kept", kept), "shingle-verdicts")
     gone = saved(judged.where(~F.col("kept")).select("id", "text_hash"), "shingle-gone")
-    marked = docs.select("*", F.xxhash64(F.col(text)).alias("_hash"), F.col(id).cast("long").alias("_id"))
+    own_id = F.col(id).cast("long").alias("_id")
+    marked = docs.select(whole_row(docs), F.xxhash64(F.col(text)).alias("_hash"), own_id)
     same = (marked["_hash"] == F.col("g.text_hash")) & marked["_id"].eqNullSafe(F.col("g.id"))
     left = marked.join(small(gone).alias("g"), same, "left_anti")
     if not judged.where(F.col("kept") & (F.col("rows") > 1)).isEmpty():
         left = left.dropDuplicates(["_hash", "_id"])
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return left.select("row.*")
