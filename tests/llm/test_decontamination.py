@@ -1,9 +1,14 @@
 from __future__ import annotations
 
+import random
+import re
 from itertools import combinations
 
+import duckdb
+
 from tests.llm.fixtures import no_documents, odd_documents, prose
 from wattloom.llm import decontamination
+from wattloom.llm import expected as expected_sql
 
 
 def test_masks_hit_every_window_with_two_words_replaced():
@@ -15,6 +20,86 @@ def test_masks_hit_every_window_with_two_words_replaced():
         )
 
 
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+
+
+def best_overlap(document, item, window=13):
+    """Every way in which the two lie side by side, without masks."""
+    best = None
+    length = min(window, len(item))
+    for start in range(1 - len(item), len(document)):
+        same = [0 <= start + k < len(document) and document[start + k] == w for k, w in enumerate(item)]
+        equal = max(sum(same[k : k + length]) for k in range(len(item) - length + 1))
+        if equal * 5 >= length * 4 and (best is None or equal > best[1]):
+            best = (start, equal, length)
+    return best
+
+
+def every_replacement(spark, lengths):
+    """Items of each length; documents that hold one with each allowed choice of words replaced,
+    and with one word more replaced, bare and among other words."""
+    items, docs = [], []
+    for length in lengths:
+        item = [f"n{length}w{k}" for k in range(length)]
+        items.append((length, " ".join(item)))
+        allowed = length * 1 // 5 if length < 13 else 2
+        for count in (allowed, min(length, allowed + 1)):
+            for bad in combinations(range(min(length, 13)), count):
+                text = " ".join("other" if k in bad else w for k, w in enumerate(item))
+                docs += [(len(docs), text), (len(docs) + 1, f"before it {text.upper()} after")]
+    return (
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
+        spark.createDataFrame(items, "item_id long, text string"),
+        docs, items,
+    )
+
+
+def test_short_items_lose_nothing(spark):
+    docs, items, texts, item_texts = every_replacement(spark, range(1, 15))
+    expected = set()
+    for doc_id, text in texts:
+        for item_id, item_text in item_texts:
+            # Items have no word in common, so only the item planted can overlap.
+            if f"n{item_id}w" in text.lower():
+                best = best_overlap(words_of(text), words_of(item_text))
+                if best:
+                    expected.add((doc_id, item_id, *best))
+    found = decontamination.contaminated(docs, items).select("doc_id", "item_id", "start", "n_equal", "n_window")
+    assert {tuple(r) for r in found.collect()} == expected and expected
+    left_out = decontamination.contaminated(docs, items, min_words=13).select("item_id").distinct()
+    assert {r.item_id for r in left_out.collect()} == {13, 14}
+
+
+def test_frequent_words_and_short_items(spark):
+    draw = random.Random(5)
+    rows = [(i, " ".join(draw.choice("abcd") for _ in range(draw.randrange(0, 30)))) for i in range(60)]
+    wanted = [(i, " ".join(draw.choice("abcd") for _ in range(1 + i))) for i in range(18)]
+    expected = {
+        (i, item, *best)
+        for i, text in rows
+        for item, item_text in wanted
+        for best in [best_overlap(words_of(text), words_of(item_text))]
+        if best
+    }
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame(wanted, "item_id long, text string")
+    found = decontamination.contaminated(docs, items).select("doc_id", "item_id", "start", "n_equal", "n_window")
+    assert {tuple(r) for r in found.collect()} == expected
+
+
+def test_sql_finds_the_same(spark, tmp_path):
+    docs, items, _, _ = every_replacement(spark, [1, 4, 5, 7, 8, 10, 13, 15])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    with duckdb.connect() as db:
+        for name in ("documents", "benchmark"):
+            db.sql(f"CREATE VIEW {name} AS FROM '{tmp_path}/{name}.parquet/*.parquet'")
+        expected = db.sql(f"SELECT doc_id, item_id, start, n_equal, n_window FROM ({expected_sql.OP6})").fetchall()
+    found = decontamination.contaminated(docs, items).select("doc_id", "item_id", "start", "n_equal", "n_window")
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
 def tables(spark):
     passage = " ".join(f"item{i}" for i in range(20))
     replaced = " ".join(f"item{i}" if i not in (6, 13) else "else" for i in range(20))

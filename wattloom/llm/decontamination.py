@@ -4,7 +4,8 @@ A seed is a fixed mask over consecutive words: some positions count, the others
 Equal hashes of the counted words of a document and of a benchmark item are a hit; it fixes how the
 two would lie side by side. Around a hit the item is compared word by word, so replaced words cost
 as much as they are worth and need not be equal. The three masks below, over at most 9 words, hit
-every overlap of 13 words that has two words replaced wherever these lie.
+every overlap of 13 words that has two words replaced wherever these lie. Shorter items have masks
+of their own, searched for each length so that they hit every overlap that counts.
 
 The benchmark is cut into blocks of bounded size, each of which is broadcast. A document's words
 are hashed next to its text: no text, word or position is shuffled, only verified overlaps are.
@@ -12,46 +13,92 @@ are hashed next to its text: no text, word or position is shuffled, only verifie
 
 from __future__ import annotations
 
+import math
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import saved, text_key, whole_row, word_array
 
-# The counted positions of each mask.
+# The counted positions of each mask, for a window of words or more.
 MASKS = ((0, 1, 2, 3, 4, 6), (0, 1, 2, 4, 7, 8), (0, 1, 3, 5, 6, 7))
+MAX_WEIGHT = 6
+MAX_MASKS = 3
 BLOCK_SEEDS = 1_500_000
 WINDOW = 13
 MIN_SHARE = 0.8
 
 
-def seed_hash(mask: int, words: Column, at: Column) -> Column:
+def hits(mask: tuple[int, ...], length: int, replaced: tuple[int, ...]) -> bool:
+    """Whether the mask fits somewhere into so many words without counting a replaced one."""
+    return any(
+        all(start + offset not in replaced for offset in mask) for start in range(length - mask[-1])
+    )
+
+
+def masks_for(length: int, min_share: float) -> tuple[tuple[int, ...], ...]:
+    """Masks that hit all of ``length`` words wherever as many are replaced as ``min_share`` allows.
+
+    Of the heaviest masks of which MAX_MASKS do, the ones that each hit the most of what is left.
+    """
+    least_equal = max(1, math.ceil(length * min_share - 1e-9))
+    placements = set(combinations(range(length), length - least_equal))
+    for weight in range(min(MAX_WEIGHT, least_equal), 0, -1):
+        reach = {
+            mask: {p for p in placements if hits(mask, length, p)}
+            for rest in combinations(range(1, length), weight - 1)
+            for mask in [(0, *rest)]
+        }
+        chosen, left = [], placements
+        while left and len(chosen) < MAX_MASKS:
+            chosen.append(max(sorted(reach), key=lambda mask: len(reach[mask] & left)))  # noqa: B023
+            left = left - reach[chosen[-1]]
+        if not left:
+            return tuple(chosen)
+    return ((0,),)
+
+
+def masks_in_use(lengths: list[int], min_share: float) -> dict[tuple[int, ...], list[int]]:
+    """The masks for items of the given lengths, each with the lengths it is for."""
+    uses: dict[tuple[int, ...], list[int]] = {}
+    for length in sorted(lengths):
+        for mask in MASKS if length >= WINDOW else masks_for(length, min_share):
+            uses.setdefault(mask, []).append(length)
+    return uses
+
+
+def seed_hash(mask: tuple[int, ...], words: Column, at: Column) -> Column:
     """The hash of the counted words from a position on. Beyond the end of the text there are
     fewer words, which at worst gives a hit that is then found wanting."""
-    counted = [F.get(words, at + offset) for offset in MASKS[mask]]
-    return F.xxhash64(F.lit(mask), *counted)
+    counted = [F.get(words, at + offset) for offset in mask]
+    return F.xxhash64(F.lit(sum(1 << offset for offset in mask)), *counted)
 
 
-def seeds_of(words: DataFrame) -> DataFrame:
-    """Rows (id, mask, at, hash) of all positions of all masks; ``before`` is the hash one word
-    earlier, by which a run of hits can be told from its first."""
+def seeds_of(words: DataFrame, uses: dict[tuple[int, ...], list[int]], window: int) -> DataFrame:
+    """Rows (id, mask, at, hash) of all positions of the masks of each item's length; ``mask`` is a
+    mask's place in ``uses``, ``before`` the hash one word earlier, by which a run of hits can be
+    told from its first."""
     at = F.explode(F.sequence(F.lit(0), F.size("words") - 1))
     placed = words.where(F.size("words") > 0).select("*", at.alias("at"))
     masks = F.array(
         *[
             F.struct(
-                F.lit(mask).alias("mask"),
+                F.lit(place).alias("mask"),
                 seed_hash(mask, F.col("words"), F.col("at")).alias("hash"),
                 F.when(F.col("at") > 0, seed_hash(mask, F.col("words"), F.col("at") - 1)).alias(
                     "before"
                 ),
+                (
+                    (F.col("at") + mask[-1] < F.size("words"))
+                    & F.least(F.lit(window), F.size("words")).isin(lengths)
+                ).alias("fits"),
             )
-            for mask in range(len(MASKS))
+            for place, (mask, lengths) in enumerate(uses.items())
         ]
     )
-    last = F.element_at(F.array(*[F.lit(max(m)) for m in MASKS]), F.col("mask") + 1)
-    return placed.select("*", F.inline(masks)).where(F.col("at") + last < F.size("words"))
+    return placed.select("*", F.inline(masks)).where("fits").drop("fits")
 
 
 def best_window(document: Column, item: Column, window: int) -> Column:
@@ -79,44 +126,51 @@ def overlaps(
     item_text: str = "text",
     window: int = WINDOW,
     min_share: float = MIN_SHARE,
+    min_words: int = 1,
     block_seeds: int = BLOCK_SEEDS,
 ) -> DataFrame:
     """Verified overlaps: the columns ``keep`` of the document, item_id, start, n_equal, n_window.
 
     An overlap counts if, lying side by side as a hit says, at least ``min_share`` of some
     ``window`` consecutive words of the item are equal (of the whole item if it is shorter).
-    Words are compared in lower case. Items shorter than the smallest mask cannot be found; a
-    NULL or empty text overlaps with nothing; repeated items are separate items.
+    Words are compared in lower case. With a window of up to 13 words and the default share every
+    overlap is found; in a longer window those with a hit of the fixed masks. Items shorter than
+    ``min_words`` are left out (none by default). A NULL or empty text overlaps with nothing;
+    repeated items are separate items.
     """
     spark = docs.sparkSession
     items = benchmark.select(
         F.col(item_id).alias("item_id"), word_array(F.lower(F.col(item_text))).alias("words")
     )
     # One row per item, in blocks of bounded seeds; the block number needs running sums of sizes.
-    items = saved(items.where(F.size("words") > 0), "benchmark-items")
-    total = items.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
-    blocks = max(1, -(-total * len(MASKS) // block_seeds))
+    items = saved(items.where(F.size("words") >= max(1, min_words)), "benchmark-items")
+    total, lengths = items.agg(
+        F.sum(F.size("words").cast("long")), F.collect_set(F.least(F.lit(window), F.size("words")))
+    ).first()
+    uses = masks_in_use(lengths or [window], min_share)
+    masks = list(uses)
+    blocks = max(1, -(-(total or 0) * len(masks) // block_seeds))
     names = [f"_keep{i}" for i in range(len(keep))]
     rows = docs.select(
         *[c.alias(n) for c, n in zip(keep, names, strict=True)],
         word_array(F.lower(F.col(text))).alias("words"),
     )
     placed = rows.select("*", F.posexplode("words").alias("at", "word")).drop("word")
-    hashes = F.array(*[seed_hash(m, F.col("words"), F.col("at")) for m in range(len(MASKS))])
+    hashes = F.array(*[seed_hash(mask, F.col("words"), F.col("at")) for mask in masks])
     hashed = placed.select("*", F.explode(hashes).alias("hash"))
 
     def found_in(block: int) -> DataFrame:
         part = items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)) == block)
-        seeds = seeds_of(part.withColumnRenamed("words", "item")
-                         .withColumn("words", F.col("item")))
+        named = part.withColumnRenamed("words", "item").withColumn("words", F.col("item"))
+        seeds = seeds_of(named, uses, window)
         seeds = seeds.select("item_id", "item", "mask", F.col("at").alias("item_at"), "hash", "before")
-        hits = hashed.join(F.broadcast(seeds), "hash")
+        found = hashed.join(F.broadcast(seeds), "hash")
         previous = reduce(
             lambda other, m: F.when(
                 (F.col("mask") == m) & (F.col("at") > 0),
-                seed_hash(m, F.col("words"), F.col("at") - 1),
+                seed_hash(masks[m], F.col("words"), F.col("at") - 1),
             ).otherwise(other),
-            range(len(MASKS)),
+            range(len(masks)),
             F.lit(None).cast("long"),
         )
         start = F.col("at") - F.col("item_at")
@@ -124,7 +178,7 @@ def overlaps(
         # The first hit of a run stands for it. This and the least number of equal words are no
         # filters here: pushed into the join they would end its generated code.
         repeated = F.coalesce(previous == F.col("before"), F.lit(False))
-        return hits.select(
+        return found.select(
             *names,
             "item_id",
             start.alias("start"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wattloom.llm.decontamination import MASKS, MIN_SHARE, WINDOW
+from wattloom.llm.decontamination import MIN_SHARE, WINDOW
 
 # Two classes, because DuckDB's patterns are RE2.
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -90,28 +90,27 @@ FROM marked
 """
 
 
-def masked(words: str, at: str, mask: tuple[int, ...]) -> str:
-    return " || ' ' || ".join(f"{words}[{at} + {offset + 1}]" for offset in mask)
-
-
-def seed_rows(table: str, id: str) -> str:
-    """Rows (id, mask, at, seed) of a table with words; the seed is the counted words in clear."""
-    return "\nUNION ALL\n".join(
-        f"SELECT {id}, {mask} AS mask, pos, {masked("words", "pos", offsets)} AS seed"
-        f" FROM (SELECT {id}, words, unnest(range(len(words) - {max(offsets)})) AS pos FROM {table}"
-        f" WHERE len(words) > {max(offsets)})"
-        for mask, offsets in enumerate(MASKS)
-    )
-
-
 OP6 = rf"""
 WITH docs AS (SELECT doc_id, {WORDS.format("lower(text)")} AS words FROM documents),
 items AS (SELECT item_id, {WORDS.format("lower(text)")} AS words FROM benchmark),
-item_seeds AS ({seed_rows("items", "item_id")}),
-doc_seeds AS ({seed_rows("docs", "doc_id")}),
+-- Replaced words cut a window into pieces, the longest of which has so many words that are equal.
+pieces AS (
+  SELECT *, least({WINDOW}, len(words)) AS n, n - ceil(n * {MIN_SHARE} - 1e-9)::INTEGER AS replaced,
+         ceil((n - replaced) / (replaced + 1))::INTEGER AS piece
+  FROM items WHERE len(words) > 0
+),
+item_seeds AS (
+  SELECT item_id, piece, pos, array_to_string(words[pos + 1 : pos + piece], ' ') AS seed
+  FROM (SELECT *, unnest(range(len(words) - piece + 1)) AS pos FROM pieces)
+),
+doc_seeds AS (
+  SELECT doc_id, piece, pos, array_to_string(words[pos + 1 : pos + piece], ' ') AS seed
+  FROM (SELECT *, unnest(range(len(words) - piece + 1)) AS pos
+        FROM docs, (SELECT DISTINCT piece FROM pieces) WHERE len(words) >= piece)
+),
 beside AS (
   SELECT DISTINCT doc_id, item_id, d.pos - i.pos AS start
-  FROM doc_seeds d JOIN item_seeds i USING (mask, seed)
+  FROM doc_seeds d JOIN item_seeds i USING (piece, seed)
 ),
 equal AS (
   SELECT doc_id, item_id, start, least({WINDOW}, len(i.words)) AS n_window,
