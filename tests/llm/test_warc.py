@@ -69,6 +69,35 @@ def test_the_index_is_in_global_order(spark, monkeypatch, fan_in):
     assert keys == sorted(keys) and len(keys) == 500
 
 
+def test_any_id_and_time(spark):
+    long = "x" * 1500
+    ids = [2**63 - 1, -(2**63), 10**18, 337_090_610_141_320, -1, 0, None]
+    rows = [(i, "http://a.org/", long, "k", "d", 1, "t") for i in ids]
+    times = [
+        F.timestamp_seconds(F.lit(1_600_000_000) + F.pmod("page_id", F.lit(10**9))),
+        F.when(F.col("page_id") > 0, F.timestamp_seconds(F.lit(10**12))).otherwise(F.timestamp_seconds(F.lit(-(10**12)))),
+    ]
+    for captured in times:
+        archive = warc.write_archive(table(spark, rows), captured)
+        assert all(len(r.timestamp) == 14 and r.timestamp.isdigit() for r in warc.read_index(archive).collect())
+        found = {r.page_id: r.refers_to for r in warc.read_records(archive).collect()}
+        assert found == {i: None if i == 2**63 - 1 else 2**63 - 1 for i in ids}
+
+
+def test_a_null_id_refers_to_page_minus_one(spark):
+    rows = [(i, "http://a.org/", "x" * 1500, "k", "d", 1, "t") for i in (None, -1, -2)]
+    found = warc.read_records(warc.write_archive(table(spark, rows), when())).collect()
+    assert {r.page_id: r.refers_to for r in found} == {None: -1, -1: None, -2: -1}
+
+
+def test_records_of_one_archive_are_read_in_several_tasks(spark):
+    rows = [(i, f"http://a.org/{i}", "p" * 50, "k", "d", 1, "t") for i in range(400)]
+    records = warc.read_records(warc.write_archive(spark.createDataFrame(rows, SCHEMA).coalesce(1), when()))
+    tasks = records.select("page_id", F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert sum(r["count"] for r in tasks) == 400
+    assert len(tasks) > 1
+
+
 def test_other_readers_can_read_the_archive(spark, tmp_path):
     folder = str(tmp_path / "warc")
     warc.write_archive(table(spark, pages()), when(), folder=folder)

@@ -42,8 +42,8 @@ def op3_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages have no time of capture; one second per page id stands for it."""
-    captured = F.timestamp_seconds(F.lit(1_600_000_000) + F.col("page_id"))
+    """Pages have no time of capture; one second per page id stands for it, over again every 10^9."""
+    captured = F.timestamp_seconds(F.lit(1_600_000_000) + F.pmod("page_id", F.lit(10**9)))
     return warc.read_records(warc.write_archive(table(spark, sf_dir, "pages"), captured))
 
 

@@ -36,6 +36,10 @@ RANGE_CAPTURES = 20_000
 MAX_RANGES = 2_000
 SAMPLE_KEYS = 20_000
 BLOCK = 1 << 20
+#: A reading task takes about so many bytes of archives.
+READ_BYTES = 64 << 20
+#: Times outside of these have no 14 digits; the nearer one stands for them.
+FIRST_TIME, LAST_TIME = "0001-01-01 00:00:00", "9999-12-31 23:59:59"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -169,12 +173,14 @@ def parse_record(packed: bytes) -> dict:
 
 def planned(pages: DataFrame, id: str, url: str, text: str, captured: Column, min_bytes: int) -> DataFrame:
     """Rows (id, uri, payload, key, timestamp, digest, refers_to)."""
+    first, last = (F.lit(t).cast("timestamp") for t in (FIRST_TIME, LAST_TIME))
+    time = F.greatest(first, F.least(last, F.coalesce(captured, F.timestamp_seconds(F.lit(0)))))
     rows = pages.select(
         F.col(id).cast("long").alias("id"),
         F.regexp_replace(F.coalesce(F.col(url), F.lit("")), r"\s", "%20").alias("uri"),
         F.coalesce(F.col(text), F.lit("")).alias("payload"),
         url_key(F.col(url)).alias("key"),
-        F.date_format(F.coalesce(captured, F.timestamp_seconds(F.lit(0))), "yyyyMMddHHmmss").alias("timestamp"),
+        F.date_format(time, "yyyyMMddHHmmss").alias("timestamp"),
     ).withColumn("digest", F.sha1("payload"))
     large = F.octet_length("payload") >= min_bytes
     # Equal payloads, pre-aggregated; only those that more than one page has are joined back.
@@ -182,7 +188,7 @@ def planned(pages: DataFrame, id: str, url: str, text: str, captured: Column, mi
         rows.where(large).groupBy("digest").agg(F.max("id").alias("stored"), F.count("*").alias("pages"))
     )
     stored = saved(stored.where("pages > 1").select("digest", "stored"), "stored-payloads")
-    refers = F.when(large & (F.coalesce(F.col("id"), F.lit(-1)) != F.col("stored")), F.col("stored"))
+    refers = F.when(large & ~F.col("id").eqNullSafe(F.col("stored")), F.col("stored"))
     return rows.join(small(stored), "digest", "left").withColumn("refers_to", refers).drop("stored")
 
 
@@ -286,8 +292,9 @@ def write_archive(
 ) -> Archive:
     """Write one record per row and the merged index.
 
-    ``captured`` is the time of capture. NULL texts are empty payloads, NULL urls have the key ``)/``,
-    a NULL id refers and is referred to by nothing; rows equal in id and payload are both stored.
+    ``captured`` is the time of capture, 1970 if NULL, and kept within the years 1 to 9999. NULL texts
+    are empty payloads, NULL urls have the key ``)/``. A row with a NULL id is a revisit if a row with
+    an id has its payload, and nothing refers to it. Rows equal in id and payload are both stored.
     Captures equal in key and time are ordered by id. An empty table gives an index without files.
     """
     folder = folder or fresh_folder(pages.sparkSession, "warc")
@@ -377,11 +384,14 @@ RECORDS = T.StructType(
 
 
 def read_records(archive: Archive) -> DataFrame:
-    """One row per record, read from the archives by the spans in the index. The records of an
-    archive are read in one go; no payload leaves its task."""
+    """One row per record, read from the archives by the spans in the index. The records of a stretch
+    of an archive are read in one go; no payload leaves its task."""
     folder = archive.folder
-    captures = read_index(archive).select("filename", "start", "length")
-    ordered = captures.repartition("filename").sortWithinPartitions("filename", "start")
+    captures = saved(read_index(archive).select("filename", "start", "length"), "captures")
+    # A number given is kept; left to adaptive execution, spans look small enough for one task.
+    total = captures.agg(F.sum("length")).first()[0] or 0
+    tasks = max(captures.sparkSession.sparkContext.defaultParallelism, -(-total // READ_BYTES))
+    ordered = captures.repartitionByRange(tasks, "filename", "start").sortWithinPartitions("filename", "start")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, place = file_system(folder)
