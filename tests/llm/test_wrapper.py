@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 from wattloom.llm import wrapper
 
 SCHEMA = "page_id long, url string, html string, text string, host string, id long, part string"
@@ -64,6 +66,34 @@ def test_strange_markup():
     assert found[4] == "text" and found[5] == "x\n\ny" and found[6:8] == ["", ""]
 
 
+def test_names_and_lists_inside_the_article():
+    body = (
+        "<h1>Study {0}</h1><h2 id='related-work'>Related work</h2><p class='notice-period'>Notice of {0} days</p>"
+        "<p>You <span class='share'>share {0}</span> it</p><h2>Summary</h2><p>Sum {0}</p>"
+        "<ul><li><a href='/r{0}'>Reference {0}</a></li></ul><div class='ad'>Buy {0}</div>"
+        "<h3>Newsletter</h3><p>Sign up today</p><h3>Advert</h3><div class='promo'>Cheap {0}</div>"
+        "<div class='share-price'>Price {0}</div>"
+    )
+    pages = [page(i, body.format(i)) for i in range(8)]
+    pages = [p.replace("<article>", "<div class='site-header'>Top</div><ul><li><a>x</a></ul><article>") for p in pages]
+    assert wrapper.extract_group(pages) == [
+        f"Study {i}\n\nRelated work\n\nNotice of {i} days\n\nYou share {i} it\n\nSummary\n\nSum {i}\n\n"
+        f"Reference {i}\n\nPrice {i}"
+        for i in range(8)
+    ]
+
+
+def test_open_tags_take_linear_time():
+    for piece in ("<a ", "<a b=", "<a <!-- ", "</p "):
+        started = time.process_time()
+        wrapper.parse(piece * 300_000)
+        wrapper.parse(piece * 300_000 + '"')
+        wrapper.parse("<p>x</p>" + piece * 300_000 + "' >")
+        assert time.process_time() - started < 20
+    found = wrapper.parse("<p title='a>b'>x</p><a <b>y</b")
+    assert [c.tag for c in found.children] == ["p", "a"]
+
+
 def test_all_rows_come_back(spark):
     rows = [(i, f"http://h{i % 2}.org/{i}", page(i, f"<p>Story {i}</p>")) for i in range(60)]
     rows += [(100, None, None), (101, "", ""), (102, "http://single.org/", page(102, "<p>Alone</p>")), (3, *rows[3][1:])]

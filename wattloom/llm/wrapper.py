@@ -32,9 +32,9 @@ MAX_DEPTH = 200
 MIN_PAGES = 4
 MIN_SHARE = 0.6
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)>""", re.S
-)
+MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+#: Up to the end of a tag; what is matched is never given back.
+ATTRIBUTES = re.compile(r"""(?:"[^"]*"|'[^']*'|[^>"']++)*+""")
 ROLE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 # Elements of HTML by kind.
@@ -79,12 +79,17 @@ OUTSIDE_NAMES = frozenset(
 )
 
 
+HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
+ARTICLES = frozenset({"article", "main"})
+UNNAMED = HEADINGS | INLINE | ARTICLES | {"body", "html"}
+
+
 class Node:
     """An element (with children) or a piece of text (with ``text``)."""
 
-    __slots__ = ("tag", "label", "children", "text", "outside", "shape", "slot", "texts", "pages")
+    __slots__ = ("tag", "label", "children", "text", "outside", "shape", "slot", "texts", "pages", "within")
 
-    def __init__(self, tag: str, label: str, text: str = "", outside: bool = False):
+    def __init__(self, tag: str, label: str, text: str = "", outside: bool = False, within: bool = False):
         self.tag = tag
         self.label = label
         self.text = text
@@ -94,16 +99,51 @@ class Node:
         self.slot: Node | None = None
         self.texts: Counter | None = None
         self.pages = 0
+        #: Inside an article or main element.
+        self.within = within
 
 
-def element(tag: str, attributes: str) -> Node:
+def element(tag: str, attributes: str, within: bool) -> Node:
+    """The node of a tag. Names say what a block is; inside the article only a whole name does, as
+    does that of a paragraph, and those of headings and inline elements say nothing."""
     names: list[str] = []
     if attributes and "=" in attributes:
         for _, *values in ROLE.findall(attributes):
             names += html.unescape("".join(values)).lower().split()
-    words = {w for name in names for w in re.split(r"[-_]", name)}
-    outside = tag in OUTSIDE or bool(words & OUTSIDE_NAMES) and tag not in ("body", "html", "article", "main")
-    return Node(tag, " ".join([tag, *names]), outside=outside)
+    outside = tag in OUTSIDE
+    if names and not outside and tag not in UNNAMED:
+        whole = within or tag == "p"
+        words = set(names) if whole else {w for name in names for w in re.split(r"[-_]", name)}
+        outside = not words.isdisjoint(OUTSIDE_NAMES)
+    return Node(tag, " ".join([tag, *names]), outside=outside, within=within)
+
+
+def tokens(page: str) -> Iterator[tuple[int, int, bool, str | None, str]]:
+    """(start, end, closing, tag, attributes) of tags; the tag is None for comments and the like.
+
+    Where a tag has no end, the next ones up to the place where its search ended have none either,
+    unless a quotation mark lies between, so open tags are not searched again one by one.
+    """
+    at = dead_from = dead_to = 0
+    while found := MARKUP.search(page, at):
+        closing, tag = found.groups()
+        at = found.end()
+        if tag is None:
+            sent = yield found.start(), at, False, None, ""
+        elif dead_from <= at < dead_to:
+            at = found.start() + 1
+            continue
+        else:
+            end = ATTRIBUTES.match(page, at).end()
+            if page[end : end + 1] != ">":
+                quote = max(page.rfind('"', at, end), page.rfind("'", at, end))
+                dead_from, dead_to = max(at, quote + 1), end
+                at = found.start() + 1
+                continue
+            attributes = page[at:end]
+            at = end + 1
+            sent = yield found.start(), at, bool(closing), tag.lower(), attributes
+        at = sent or at
 
 
 def parse(page: str) -> Node:
@@ -111,41 +151,44 @@ def parse(page: str) -> Node:
     root = Node("#root", "#root")
     stack = [root]
     at = 0
+    found = tokens(page)
+    token = next(found, None)
     while True:
-        found = TOKEN.search(page, at)
-        end = found.start() if found else len(page)
+        end = token[0] if token else len(page)
         if end > at:
             text = page[at:end]
             if not text.isspace():
-                stack[-1].children.append(Node("#text", "#text", text))
+                within = stack[-1].within or stack[-1].tag in ARTICLES
+                stack[-1].children.append(Node("#text", "#text", text, within=within))
             elif stack[-1].children and stack[-1].children[-1].tag == "#text":
                 stack[-1].children[-1].text += " "
             else:
                 stack[-1].children.append(Node("#space", "#space", " "))
-        if not found:
+        if not token:
             return root
-        at = found.end()
-        closing, tag, attributes = found.groups()
-        if tag is None:
-            continue
-        tag = tag.lower()
+        _, at, closing, tag, attributes = token
+        skip = None
         if closing:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == tag:
                     del stack[depth:]
                     break
-            continue
-        if tag in ENDS_PARAGRAPH:
-            close(stack, {"p"}, SCOPES | {"li", "td", "div", "section", "blockquote"})
-        elif tag in ENDS_SAME:
-            close(stack, ENDS_SAME[tag], SCOPES - {"article"})
-        node = element(tag, attributes)
-        stack[-1].children.append(node)
-        if tag in RAW:
-            stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = stop.end() if stop else len(page)
-        elif tag not in VOID and not attributes.rstrip().endswith("/") and len(stack) < MAX_DEPTH:
-            stack.append(node)
+        elif tag is not None:
+            if tag in ENDS_PARAGRAPH:
+                close(stack, {"p"}, SCOPES | {"li", "td", "div", "section", "blockquote"})
+            elif tag in ENDS_SAME:
+                close(stack, ENDS_SAME[tag], SCOPES - {"article"})
+            node = element(tag, attributes, stack[-1].within or stack[-1].tag in ARTICLES)
+            stack[-1].children.append(node)
+            if tag in RAW:
+                stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+                skip = at = stop.end() if stop else len(page)
+            elif tag not in VOID and not attributes.rstrip().endswith("/") and len(stack) < MAX_DEPTH:
+                stack.append(node)
+        try:
+            token = found.send(skip)
+        except StopIteration:
+            token = None
 
 
 def close(stack: list[Node], tags: set[str], scopes) -> None:
@@ -311,15 +354,26 @@ def is_link_list(node: Node) -> bool:
 
 
 def main_text(tree: Node, pages: int) -> str:
-    """The varying text of a page that is not outside the article, block by block."""
+    """The varying text of a page that is not outside the article, block by block. Inside the article
+    a block stays whole if any of it varies, and a heading that pages share stays if text of the page
+    comes next."""
     blocks: list[str] = []
     run: list[str] = []
+    # The heading that is open, whether any text of the block varies, and a shared heading that waits.
+    heading: Node | None = None
+    varies = False
+    waiting = ""
 
     def flush() -> None:
+        nonlocal waiting, varies
         text = " ".join(html.unescape("".join(run)).split())
         run.clear()
-        if text:
-            blocks.append(text)
+        if text and varies:
+            blocks.extend([waiting, text] if waiting else [text])
+            waiting = ""
+        elif text:
+            waiting = text if heading else ""
+        varies = False
 
     # An explicit stack: pages may be nested deeper than Python's own.
     todo: list[tuple[Node, bool]] = [(tree, False)]
@@ -327,19 +381,29 @@ def main_text(tree: Node, pages: int) -> str:
         node, leaving = todo.pop()
         if leaving:
             flush()
+            if node is heading:
+                heading = None
         elif node.tag == "#space":
             run.append(" ")
         elif node.tag == "#text":
             if not is_template_text(node, pages):
                 run.append(node.text)
-        elif node.outside or is_link_list(node):
+                varies = True
+            elif node.within:
+                run.append(node.text)
+            else:
+                waiting = ""
+        elif node.outside or not node.within and is_link_list(node):
             flush()
+            waiting = ""
         else:
             if node.tag == "br":
                 run.append(" ")
             elif node.tag not in INLINE:
                 flush()
                 todo.append((node, True))
+                if node.within and node.tag in HEADINGS:
+                    heading, waiting = node, ""
             todo += [(c, False) for c in reversed(node.children)]
     flush()
     return "\n\n".join(blocks)
