@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from tests.llm.fixtures import no_documents, odd_documents, odd_rows, prose
 from wattloom.llm import line_join
@@ -96,3 +100,29 @@ def test_odd_rows_and_empty_tables(spark):
     assert line_join.without_repeats(docs).count() == docs.count()
     for found in (line_join.line_counts, line_join.without_repeats):
         assert found(no_documents(spark)).collect() == []
+
+
+def test_words_of_all_texts_are_counted(spark):
+    rows = [(i, "Common\tcommon\n" + " ".join(f"w{i}x{j}" for j in range(i % 3))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    steps = spark.range(1).select(line_join.rarity_steps(docs, "text").alias("steps")).first().steps
+    words = [w for _, text in rows for w in text.lower().split()]
+    at = {r.w: r.b for r in spark.createDataFrame([(w,) for w in set(words)], "w string").select(
+        "w", line_join.bucket(F.xxhash64("w")).alias("b")).collect()}
+    held = Counter(at[w] for w in words)
+    for bucket, n in held.items():
+        assert steps[bucket] >> 56 == math.floor(8 * math.log2(n + 1)) - 128
+
+
+def test_near_copies_meet_the_earliest_one_first(spark):
+    """Copies whose rarest words are their own changes: no pairs are left for the second round."""
+    base = [f"w{i}" for i in range(40)]
+    rows = [(0, " ".join(base))] + [
+        (n, " ".join(f"x{n}y{i}" if i % 13 == n % 13 else w for i, w in enumerate(base))) for n in range(1, 200)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = line_join.line_sets(docs, "doc_id", "text")
+    pairs = line_join.pairs_with_earliest(sets)
+    gone = line_join.later_of_matches(pairs, line_join.whole_sets(docs, "doc_id", "text", sets, pairs))
+    assert gone.count() == 199
+    assert line_join.pairs_with_open(sets, gone).count() == 0

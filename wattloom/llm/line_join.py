@@ -5,18 +5,19 @@ threshold; of matching lines the later ones go. Equal sets are one set from the
 a set are ordered by rarity, and sets that match share a word among the first few of that order
 (prefix filter). Joined on such words, pairs must pass three tests that need no other word: sizes
 not too different (length filter), enough words left after the shared one (positional filter), and
-few enough words that 64 bits of hashed words show to be in one set only. What passes is compared
+few enough words that maps of bits of hashed words show to be in one set only. What passes is compared
 as whole sets.
 
 A line goes as soon as one earlier line matches, so not all matches of a group are needed. The first
-round pairs each set with the earliest holder of each of its rarest words only: one pair per set and
-word, however large a group is. The second pairs the sets that are left with all earlier ones, and
+round pairs each set with the earliest holder of each word of its prefix only, one pair per set and
+word, however large a group is: the rarest words of a near copy are often its own changes, so they
+alone would not find it. The second pairs the sets that are left with all earlier ones, and
 compares a set with the one most like it by the bits before it turns to the others.
 
-Rarity comes from counts in a fixed number of hash buckets, as a step of its logarithm, over one text
-in ``RARITY_SHARE``. Any order gives the same result; the sample decides on costs alone. A word is a 64-bit number: the step in the upper 8
-bits, its hash in the others, so sorting the numbers sorts by rarity, and equal numbers are taken
-for equal words.
+Rarity comes from counts of all words of all texts in a fixed number of hash buckets, as a step of its
+logarithm. Any order gives the same result. A word is a 64-bit number: the step in the upper 8 bits,
+its hash in the others, so sorting the numbers sorts by rarity, and equal numbers are taken for equal
+words.
 
 Everything is DataFrame and SQL functions; what is shuffled is numbers, except the texts that
 ``without_repeats`` joins with the lines they keep.
@@ -24,22 +25,21 @@ Everything is DataFrame and SQL functions; what is shuffled is numbers, except t
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from wattloom.llm.common import saved, small, whole_row, word_array
+from wattloom.llm.common import saved, small, whole_row
 
 #: Two lines match at NUMERATOR / DENOMINATOR or more.
 NUMERATOR, DENOMINATOR = 4, 5
 BUCKET_BITS = 20
-#: One text in so many is counted for the order of words.
-RARITY_SHARE = 8
-#: The first round pairs by so many of the rarest words of a set.
-FIRST_KEYS = 2
+#: Maps of 64 bits each that the index holds.
+MAPS = 2
 #: Maps of 64 bits each, by which candidates are compared once more before their whole sets are.
 WIDE = 4
 
@@ -71,11 +71,10 @@ def bucket(hash: Column) -> Column:
 def rarity_steps(docs: DataFrame, text: str) -> Column:
     """An array with the rarity step (-128 .. 127) of each bucket, in the upper 8 bits, as a scalar
     subquery."""
-    some = docs.where(F.pmod(F.xxhash64(F.col(text)), F.lit(RARITY_SHARE)) == 0)
-    words = some.select(word_array(F.lower(F.col(text))).alias("words"))
-    counted = words.select(F.explode_outer("words").alias("word")).select(
-        bucket(F.xxhash64("word")).alias("bucket")
-    )
+    # Cut at a single character, which needs no pattern; the outer form, so that they are cut once.
+    spaced = F.translate(F.lower(F.col(text)), "\t\n\x0b\x0c\r", "     ")
+    hashes = F.transform(F.array_remove(F.split(spaced, " "), ""), lambda w: bucket(F.xxhash64(w)))
+    counted = docs.select(F.explode_outer(hashes).alias("bucket"))
     counts = saved(counted.groupBy("bucket").agg(F.count("*").alias("words")), "word-buckets")
     step = F.least(F.lit(255), F.floor(8 * F.log2(F.coalesce("words", F.lit(0)) + 1))) - 128
     every = docs.sparkSession.range(1 << BUCKET_BITS).select(F.col("id").cast("int").alias("bucket"))
@@ -110,15 +109,33 @@ def least_overlap(n: Column, m: Column) -> Column:
     return (n + m) * NUMERATOR
 
 
-def missing(x: Column, y: Column) -> Column:
-    """At least so many words of the set with bits x are not in the one with bits y."""
-    return F.bit_count(x.bitwiseAND(F.bitwise_not(y)))
+def bit_maps(words: str, name: str, maps: int) -> list[Column]:
+    """Maps ``name_0`` .. of 64 bits, of which each hash in the array ``words`` sets one."""
+    return [
+        F.expr(
+            f"aggregate({words}, 0L, (bits, h) -> if("
+            f"(shiftright(h, 6) & {maps - 1}) = {k}, bits | shiftleft(1L, cast(h & 63 AS INT)), bits))"
+        ).alias(f"{name}_{k}")
+        for k in range(maps)
+    ]
+
+
+BITS = [f"bits_{k}" for k in range(MAPS)]
+
+
+def missing(x: Sequence[Column], y: Sequence[Column]) -> Column:
+    """At least so many words of the set with the maps x are not in the one with the maps y."""
+    return reduce(add, [F.bit_count(a.bitwiseAND(F.bitwise_not(b))) for a, b in zip(x, y, strict=True)])
+
+
+def bits_of(side: str) -> list[Column]:
+    return [F.col(f"{side}.{c}") for c in BITS]
 
 
 def alike(n: Column, m: Column) -> Column:
     """What the sizes n and m and the bits of two sets, x and y, allow if these match."""
-    bits = F.col("x.bits"), F.col("y.bits")
-    shared = F.least(n - missing(*bits), m - missing(*reversed(bits)))
+    x, y = bits_of("x"), bits_of("y")
+    shared = F.least(n - missing(x, y), m - missing(y, x))
     return (
         (n * DENOMINATOR >= m * NUMERATOR)
         & (m * DENOMINATOR >= n * NUMERATOR)
@@ -127,20 +144,18 @@ def alike(n: Column, m: Column) -> Column:
 
 
 def line_sets(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """Rows (set, n, bits, prefix, first, rank): each set of words and its first place, which is
+    """Rows (set, n, bits_0 .., prefix, first, rank): each set of words and its first place, which is
     (id, hash of the text, line number), NULL ids first. ``rank`` never falls from one place to a
     later one; ids that are no numbers all have rank 0."""
     made = sets_of(raw_lines(docs, id, text), rarity_steps(docs, text))
     prefix = F.col("n") - F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) + 1
-    # A map of 64 bits, of which each word sets one.
-    bits = F.expr("aggregate(tokens, 0L, (bits, t) -> bits | shiftleft(1L, cast(t & 63 AS INT)))")
     sets = saved(
         made.select(
-            "set", "n", bits.alias("bits"), F.slice("tokens", F.lit(1), prefix.cast("int")).alias("prefix"),
+            "set", "n", *bit_maps("tokens", "bits", MAPS), F.slice("tokens", F.lit(1), prefix.cast("int")).alias("prefix"),
             F.struct("id", "text_hash", "line_no").alias("place"),
         )
         .groupBy("set", "n")
-        .agg(F.min("place").alias("first"), F.min("bits").alias("bits"), F.min("prefix").alias("prefix")),
+        .agg(F.min("place").alias("first"), *[F.min(c).alias(c) for c in (*BITS, "prefix")]),
         "line-sets",
     )
     rank = F.lit(0).cast("long")
@@ -154,19 +169,17 @@ def line_sets(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def pairs_with_earliest(sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets with the earliest set that shares one of their rarest words."""
+    """Pairs (a, b) of sets with the earliest set that holds one of the same words in its prefix."""
     line_no = F.least(F.col("first.line_no"), F.lit(65535)).cast("long")
     # Earlier places have lesser numbers, but for texts of one id. A wrong guess costs a pair.
     order = F.shiftleft("rank", 32).bitwiseOR(F.shiftleft(line_no, 16)).bitwiseOR(F.col("set").bitwiseAND(65535))
-    keys = sets.select(
-        "set", "n", "bits", order.alias("order"), F.explode(F.slice("prefix", 1, FIRST_KEYS)).alias("token")
-    )
-    earliest = keys.groupBy("token").agg(
-        *[F.min_by(c, "order").alias(c) for c in ("set", "n", "bits")], F.count("*").alias("held")
-    ).where("held > 1")
-    x, y = earliest.alias("x"), keys.alias("y")
-    fits = (F.col("x.token") == F.col("y.token")) & (F.col("x.set") != F.col("y.set")) & alike(F.col("x.n"), F.col("y.n"))
-    return x.join(y, fits).select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct()
+    keys = sets.select("set", "n", *BITS, order.alias("order"), F.explode("prefix").alias("token"))
+    # One shuffle by word, and one pair per set and word at most.
+    own = F.struct("set", "n", *BITS)
+    earliest = F.first(own).over(Window.partitionBy("token").orderBy("order", "set"))
+    both = keys.select(earliest.alias("x"), own.alias("y"))
+    fits = (F.col("x.set") != F.col("y.set")) & alike(F.col("x.n"), F.col("y.n"))
+    return both.where(fits).select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct()
 
 
 def pairs_with_open(sets: DataFrame, gone: DataFrame) -> DataFrame:
@@ -174,10 +187,10 @@ def pairs_with_open(sets: DataFrame, gone: DataFrame) -> DataFrame:
     latter is the number of bits that differ."""
     marked = sets.join(small(gone.withColumn("gone", F.lit(True))), "set", "left")
     index = marked.select(
-        "set", "n", "bits", "rank", F.when(F.col("gone"), 0).otherwise(1).alias("open"),
+        "set", "n", *BITS, "rank", F.when(F.col("gone"), 0).otherwise(1).alias("open"),
         F.posexplode("prefix").alias("at", "token"),
     ).select(
-        "set", "bits", "rank", "token",
+        "set", *BITS, "rank", "token",
         (F.col("n") * 2 + F.col("open")).alias("n_open"), (F.col("n") - F.col("at")).alias("left"),
     )
     x, y = index.alias("x"), index.alias("y")
@@ -193,7 +206,7 @@ def pairs_with_open(sets: DataFrame, gone: DataFrame) -> DataFrame:
         & (left * (NUMERATOR + DENOMINATOR) >= least_overlap(n, m))
         & alike(n, m)
     )
-    unlike = missing(F.col("x.bits"), F.col("y.bits")) + missing(F.col("y.bits"), F.col("x.bits"))
+    unlike = missing(bits_of("x"), bits_of("y")) + missing(bits_of("y"), bits_of("x"))
     return x.join(y, fits).select(
         F.col("x.set").alias("a"), F.col("y.set").alias("b"), unlike.alias("unlike")
     ).distinct()
@@ -220,14 +233,7 @@ def whole_sets(docs: DataFrame, id: str, text: str, sets: DataFrame, pairs: Data
     )
     # Rows equal in id and text give a line more than once.
     whole = cut.groupBy("set").agg(F.min(F.struct("first", "hashes")).alias("whole"))
-    wide = [
-        F.expr(
-            "aggregate(hashes, 0L, (bits, h) -> if("
-            f"(shiftright(h, 6) & {WIDE - 1}) = {k}, bits | shiftleft(1L, cast(h & 63 AS INT)), bits))"
-        ).alias(f"wide_{k}")
-        for k in range(WIDE)
-    ]
-    whole = whole.select("set", "whole.*").select("*", F.size("hashes").alias("n"), *wide)
+    whole = whole.select("set", "whole.*").select("*", F.size("hashes").alias("n"), *bit_maps("hashes", "wide", WIDE))
     return saved(whole, "candidate-sets")
 
 
@@ -237,9 +243,8 @@ def likely(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     of_a, of_b = (
         whole.select(F.col("set").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", *wide)]) for s in "ab"
     )
-    only_a, only_b = (
-        reduce(add, [missing(F.col(f"{w}_{s}"), F.col(f"{w}_{t}")) for w in wide]) for s, t in ("ab", "ba")
-    )
+    maps_a, maps_b = ([F.col(f"{c}_{s}") for c in wide] for s in "ab")
+    only_a, only_b = missing(maps_a, maps_b), missing(maps_b, maps_a)
     n, m = F.col("n_a"), F.col("n_b")
     shared = F.least(n - only_a, m - only_b)
     both = pairs.join(of_a, "a").join(of_b, "b")
