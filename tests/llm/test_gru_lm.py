@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 from collections import Counter
 
@@ -181,3 +182,96 @@ def test_empty_tables(spark):
     untrained = gru_lm.score(docs, gru_lm.train(docs, F.lit(False))).collect()
     assert len(untrained) == docs.count()
     assert all(r.n_known == 0 and math.isfinite(r.score) for r in untrained)
+
+
+def test_tasks_follow_tokens_not_splits(spark):
+    """All parameters are a task's result, so 32 splits of a small share are one task."""
+    rows = [(i, " ".join(f"w{(i * 7 + j) % 9}" for j in range(30))) for i in range(200)]
+    shape, p = small_model()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(32)
+    tokens = 31 * len(rows)
+    size = sum(part.size for part in p)
+    assert gru_lm.learners(tokens, p) == -(-gru_lm.SENT * tokens // size)
+    for tasks in (1, gru_lm.learners(tokens, p)):
+        start = spark.sparkContext.broadcast(gru_lm.started(shape, p))
+        found = gru_lm.learned(docs, "text", start, tasks).where("block = 0").collect()
+        assert 1 <= len(found) <= tasks and sum(r.weight for r in found) == tokens
+
+
+def test_rounds_ask_for_those_tasks(spark, monkeypatch):
+    asked, starts = [], []
+    learned = gru_lm.learned
+
+    def noted(docs, text, start, tasks):
+        made = learned(docs, text, start, tasks)
+        asked.append((tasks, made.rdd.getNumPartitions()))
+        starts.append(start)
+        return made
+
+    monkeypatch.setattr(gru_lm, "learned", noted)
+    rows = [(i, "a b c d e") for i in range(300)]
+    gru_lm.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(16), F.lit(True))
+    assert asked == [(1, 1)] * gru_lm.ROUNDS
+    # No round leaves its copy of the parameters.
+    assert not any(os.path.exists(start._path) for start in starts)
+
+
+def test_long_texts_take_the_output_layers_together(monkeypatch):
+    """One call for many steps of a few long texts, not one for every window."""
+    shape, p = small_model()
+    texts = [np.random.default_rng(2).integers(0, 11, n).astype(np.int32) for n in (5000, 3, 4000)]
+    calls, plain = [], gru_lm.log_probabilities
+
+    def noted(p, h, token, per_class):
+        calls.append(len(token))
+        return plain(p, h, token, per_class)
+
+    monkeypatch.setattr(gru_lm, "log_probabilities", noted)
+    found = gru_lm.score_texts(texts, p, shape.per_class)
+    assert calls == [9003]
+    assert found == pytest.approx([reference_score(p, shape.per_class, t) for t in texts], rel=1e-4)
+
+
+def test_output_slopes_follow_the_loss():
+    """Of states, weights and biases, with words that come twice, and with logits that overflow."""
+    for stretch in (1.0, 60.0):
+        shape = gru_lm.Shape([f"w{i}".encode() for i in range(9)] + [b""], 7, classes=4)
+        draw = np.random.default_rng(8)
+        p = gru_lm.Parameters(*[
+            part.astype(np.float64) + stretch * draw.normal(0, 0.3, part.shape) * (part > -50)
+            for part in gru_lm.initial(shape, list(range(10, 0, -1)))
+        ])
+        h, token = draw.uniform(-1, 1, (12, gru_lm.HIDDEN)), draw.integers(0, 11, 12).astype(np.int32)
+
+        def loss(p, h):
+            total = 0.0
+            for row, (group, place) in zip(h, (divmod(int(t), shape.per_class) for t in token), strict=True):
+                for z, at in ((row @ p.class_out + p.class_bias, group), (row @ p.word_out[group] + p.word_bias[group], place)):
+                    total += z.max() + np.log(np.exp(z - z.max()).sum()) - z[at]
+            return total * 0.5
+
+        slopes = {}
+
+        class Noted(gru_lm.Trainer):
+            def change(self, name, slope, at=None):
+                slopes[name, at] = slope
+
+        slopes["h"] = Noted(p, shape.per_class).output_slopes(h, token, 0.5)
+
+        def numeric(array, at):
+            found = []
+            for d in (1e-6, -1e-6):
+                kept = array[at]
+                array[at] += d
+                found.append(loss(p, h))
+                array[at] = kept
+            return (found[0] - found[1]) / 2e-6
+
+        for i in (0, 5, 11):
+            assert slopes["h"][i, 3] == pytest.approx(numeric(h, (i, 3)), rel=1e-3, abs=1e-5)
+            c = int(token[i]) // shape.per_class
+            assert slopes["class_out", None][2, c] == pytest.approx(numeric(p.class_out, (2, c)), rel=1e-3, abs=1e-5)
+            assert slopes["class_bias", None][c] == pytest.approx(numeric(p.class_bias, c), rel=1e-3, abs=1e-5)
+            at = int(token[i]) % shape.per_class
+            assert slopes["word_out", c][4, at] == pytest.approx(numeric(p.word_out, (c, 4, at)), rel=1e-3, abs=1e-5)
+            assert slopes["word_bias", c][at] == pytest.approx(numeric(p.word_bias, (c, at)), rel=1e-3, abs=1e-5)

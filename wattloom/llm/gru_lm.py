@@ -10,7 +10,10 @@ the untrained model is a unigram model, and training adds what the context tells
 Training runs in rounds over all training documents, one share of them per round. Every task takes
 the current parameters through its documents, laid out as parallel streams, by truncated
 backpropagation through time, and the tasks' results are averaged, block of parameters by block, in
-proportion to the tokens that each has seen. Scoring carries the state of a document from window to
+proportion to the tokens that each has seen. A result is all parameters, so the number of tasks
+follows from the tokens of a round and the size of the model, not from the splits of the input, and
+what is sent is in proportion to the tokens. The streams grow with the classes, so that the loop
+over the classes costs the same per token for any vocabulary. Scoring carries the state of a document from window to
 window, so its whole text is one sequence.
 """
 
@@ -19,10 +22,12 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, compress, repeat
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,14 +43,22 @@ HELD_COUNTS = 250_000
 CLASSES = 64
 HIDDEN = 16
 ROUNDS = 3
+#: At least; two for each class, if that is more.
 STREAMS = 128
 WINDOW = 20
 #: Every LOSS_EVERYth step adds to the loss: all of them, every token is a target once.
 LOSS_EVERY = 1
 RATE = 0.05
 BLOCK = 4096
+#: Numbers that the tasks of a round send, for each of its tokens.
+SENT = 1
+#: Tokens whose states are kept while texts are scored, until the output layers take them all.
+SCORED = 32_768
 HELD_WORDS = 1_000_000
 
+#: Rows of the class softmax at a time, which stay in a CPU's cache.
+ROWS = 512
+
 F32 = np.float32
 
 
@@ -152,22 +165,47 @@ def step(p: Parameters, h: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, t
     return h + update * (candidate - h), (h, update, reset, candidate, u[:, 2 * HIDDEN :])
 
 
-def log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def logits(h: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Without the biases, and less by a row's largest where their exponents could overflow: states
+    lie within -1 and 1, so the sum of a word's weights is its bound."""
+    z = h @ out
+    if np.abs(out).sum(axis=0).max() > 30:
+        z -= z.max(axis=1, keepdims=True)
+    return z
+
+
+def chosen(h: np.ndarray, out: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log softmax of h @ out + bias at one place of each row."""
+    z = logits(h, out)
+    picked = z[np.arange(len(at)), at] + bias[at]
+    return picked - np.log(np.exp(z, out=z) @ np.exp(bias))
+
+
+def expected(h: np.ndarray, out: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The softmax's part of the slopes: by the states, and by the weights with the bias as last row.
+    Biases and denominators are factors of rows and columns, so that few steps touch all logits."""
+    z = logits(h, out)
+    e, mass = np.exp(z, out=z), np.exp(bias)
+    share = 1 / (e @ mass)[:, None]
+    ahead = np.concatenate([h * share, share], axis=1)
+    return (e @ (out * mass).T) * share, (ahead.T @ e) * mass
 
 
 def log_probabilities(p: Parameters, h: np.ndarray, token: np.ndarray, per_class: int) -> np.ndarray:
     """Natural log of the probability of each token after its state."""
     group, place = token // per_class, token % per_class
-    out = log_softmax(h @ p.class_out + p.class_bias)[np.arange(len(token)), group]
     order = np.argsort(group, kind="stable")
+    h, place = h[order], place[order]
     bounds = np.searchsorted(group[order], np.arange(len(p.class_bias) + 1))
-    for c in range(len(p.class_bias)):
-        rows = order[bounds[c] : bounds[c + 1]]
-        if len(rows):
-            inner = log_softmax(h[rows] @ p.word_out[c] + p.word_bias[c])
-            out[rows] += inner[np.arange(len(rows)), place[rows]]
+    found = np.empty(len(token), h.dtype)
+    for at in range(0, len(token), ROWS):
+        rows = slice(at, at + ROWS)
+        found[rows] = chosen(h[rows], p.class_out, p.class_bias, group[order[rows]])
+    for c in np.flatnonzero(np.diff(bounds)):
+        rows = slice(bounds[c], bounds[c + 1])
+        found[rows] += chosen(h[rows], p.word_out[c], p.word_bias[c], place[rows])
+    out = np.empty_like(found)
+    out[order] = found
     return out
 
 
@@ -188,28 +226,37 @@ class Trainer:
 
     def output_slopes(self, h: np.ndarray, token: np.ndarray, scale: float) -> np.ndarray:
         """Update the output layers and return the slope of the loss by the states."""
-        p, per_class = self.p, self.per_class
-        group, place = token // per_class, token % per_class
-        wrong = np.exp(log_softmax(h @ p.class_out + p.class_bias))
-        wrong[np.arange(len(token)), group] -= 1
-        wrong *= scale
-        back = wrong @ p.class_out.T
-        self.change("class_out", h.T @ wrong)
-        self.change("class_bias", wrong.sum(axis=0))
-        order = np.argsort(group, kind="stable")
-        bounds = np.searchsorted(group[order], np.arange(len(p.class_bias) + 1))
-        for c in range(len(p.class_bias)):
-            rows = order[bounds[c] : bounds[c + 1]]
-            if not len(rows):
-                continue
-            own = h[rows]
-            wrong = np.exp(log_softmax(own @ p.word_out[c] + p.word_bias[c]))
-            wrong[np.arange(len(rows)), place[rows]] -= 1
-            wrong *= scale
-            back[rows] += wrong @ p.word_out[c].T
-            self.change("word_out", own.T @ wrong, c)
-            self.change("word_bias", wrong.sum(axis=0), c)
-        return back
+        p = self.p
+        order = np.argsort(token, kind="stable")
+        h, token = h[order], token[order]
+        group = token // self.per_class
+        bounds = np.searchsorted(group, np.arange(len(p.class_bias) + 1))
+        # The different words: sums of the states ahead of each, with their number as last column.
+        first = np.flatnonzero(np.diff(token, prepend=-1))
+        sums = np.add.reduceat(np.concatenate([h, np.ones_like(h[:, :1])], axis=1), first)
+        own, place = group[first], token[first] % self.per_class
+        words = np.searchsorted(own, np.arange(len(p.class_bias) + 1))
+        back = -(p.class_out.T[own] + p.word_out[own, :, place]).repeat(np.diff(first, append=len(token)), axis=0)
+        seen = np.flatnonzero(np.diff(bounds))
+        slope = np.zeros((HIDDEN + 1, len(p.class_bias)), h.dtype)
+        slope[:, seen] = -np.add.reduceat(sums, words[seen]).T
+        for at in range(0, len(token), ROWS):
+            rows = slice(at, at + ROWS)
+            by_state, by_weight = expected(h[rows], p.class_out, p.class_bias)
+            back[rows] += by_state
+            slope += by_weight
+        self.change("class_out", scale * slope[:-1])
+        self.change("class_bias", scale * slope[-1])
+        for c in seen:
+            rows, known = slice(bounds[c], bounds[c + 1]), slice(words[c], words[c + 1])
+            by_state, slope = expected(h[rows], p.word_out[c], p.word_bias[c])
+            back[rows] += by_state
+            slope[:, place[known]] -= sums[known].T
+            self.change("word_out", scale * slope[:-1], c)
+            self.change("word_bias", scale * slope[-1], c)
+        slopes = np.empty_like(back)
+        slopes[order] = scale * back
+        return slopes
 
     def window(
         self, tokens: np.ndarray, before: np.ndarray, h: np.ndarray, turn: int, weight: float = 1.0
@@ -258,7 +305,8 @@ class Trainer:
     def train(self, tokens: np.ndarray, before: np.ndarray) -> None:
         """All tokens of a batch, cut into streams of equal length; a rest shorter than the number
         of streams goes on from the last stream, with the weight that its tokens have in a window."""
-        streams = max(1, min(STREAMS, len(tokens) // (4 * WINDOW)))
+        most = max(STREAMS, 2 * len(self.p.class_bias))
+        streams = max(1, min(most, len(tokens) // (4 * WINDOW)))
         length = len(tokens) // streams
         h = np.zeros((streams, HIDDEN), F32)
         grid = tokens[: streams * length].reshape(streams, length)
@@ -275,25 +323,32 @@ class Trainer:
 
 def ids_of(words: list[bytes], ids: dict[bytes, int]) -> np.ndarray:
     """Ids of the words and of the end."""
-    found = [ids.get(w, 0) for w in words]
-    found.append(ids[b""])
-    return np.array(found, dtype=np.int32)
+    return np.fromiter(map(ids.get, chain(words, [b""]), repeat(0)), np.int32, len(words) + 1)
 
 
 def known_ids(shape: Shape) -> dict[bytes, int]:
     return {word: i + 1 for i, word in enumerate(shape.words)}
 
 
-def train_round(docs: DataFrame, text: str, shape: Shape, p: Parameters) -> Parameters:
-    """One share of the documents through every task, averaged by tokens."""
-    context = docs.sparkSession.sparkContext
-    start, vocabulary = context.broadcast(p.packed()), context.broadcast(shape)
-    sizes = [part.shape for part in p]
+def learners(tokens: int, p: Parameters) -> int:
+    """The tasks of a round over so many tokens, whose results are SENT numbers a token."""
+    return max(1, -(-SENT * tokens // sum(part.size for part in p)))
+
+
+def started(shape: Shape, p: Parameters) -> tuple[Shape, list[tuple], bytes]:
+    """What the tasks of a round start with."""
+    return shape, [part.shape for part in p], p.packed()
+
+
+def learned(docs: DataFrame, text: str, start: Broadcast, tasks: int) -> DataFrame:
+    """Rows (block, weight, part): the parameters of each task after its documents. ``start`` holds
+    the shape, the shapes of the parameters and the parameters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = known_ids(vocabulary.value)
+        shape, sizes, packed = start.value
+        ids = known_ids(shape)
         blank = Parameters(*[np.zeros(s, F32) for s in sizes])
-        trainer = Trainer(blank.unpacked(start.value), vocabulary.value.per_class)
+        trainer = Trainer(blank.unpacked(packed), shape.per_class)
         seen = 0
         for batch in batches:
             if not batch.num_rows:
@@ -310,6 +365,12 @@ def train_round(docs: DataFrame, text: str, shape: Shape, p: Parameters) -> Para
                 arrays = [pa.array([block]), pa.array([float(seen)]), pa.array([flat[at : at + BLOCK].tobytes()], pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["block", "weight", "part"])
 
+    return docs.select(text).coalesce(tasks).mapInArrow(run, "block long, weight double, part binary")
+
+
+def train_round(docs: DataFrame, text: str, shape: Shape, p: Parameters, tasks: int) -> Parameters:
+    """One share of the documents through the tasks, averaged by tokens."""
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums of blocks: a fixed number of numbers, however many tasks there are."""
         sums: dict[int, np.ndarray] = {}
@@ -323,9 +384,11 @@ def train_round(docs: DataFrame, text: str, shape: Shape, p: Parameters) -> Para
             arrays = [pa.array([block]), pa.array([weights[block]]), pa.array([total.tobytes()], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["block", "weight", "sums"])
 
-    made = docs.select(text).mapInArrow(run, "block long, weight double, part binary")
+    start = docs.sparkSession.sparkContext.broadcast(started(shape, p))
+    made = learned(docs, text, start, tasks)
     total = made.repartition(8, "block").mapInArrow(add, "block long, weight double, sums binary")
     found = sorted(total.collect(), key=lambda row: row.block)
+    start.destroy()  # else each round leaves a copy of the parameters with every executor
     if not found:
         return p
     flat = np.concatenate([np.frombuffer(bytes(r.sums), "<f8") / r.weight for r in found])
@@ -375,34 +438,34 @@ def train(docs: DataFrame, usable: Column, id: str = "doc_id", text: str = "text
     p = initial(shape, [c for _, c in words])
     share = F.pmod(F.xxhash64("id", F.lit("round")), F.lit(ROUNDS))
     for i in range(ROUNDS):
-        p = train_round(rows.where(share == i), "text", shape, p)
+        p = train_round(rows.where(share == i), "text", shape, p, learners(tokens // ROUNDS, p))
     return Model(shape, p, tokens, distinct, counts, held)
 
 
 def score_texts(texts: list[np.ndarray], p: Parameters, per_class: int) -> np.ndarray:
     """Log10 probabilities of whole token sequences. The longest go first, so that the texts still
-    running at a step are the first rows; each keeps its state from window to window."""
+    running at a step are the first rows; each keeps its state from step to step."""
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     lengths = np.array([len(texts[i]) for i in order])
     flat = np.concatenate([texts[i] for i in order])
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     totals = np.zeros(len(texts))
     h = np.zeros((len(texts), HIDDEN), F32)
-    for at in range(0, int(lengths[0]), WINDOW):
-        states, tokens, rows = [], [], []
-        for t in range(at, min(at + WINDOW, int(lengths[0]))):
-            running = int(np.searchsorted(-lengths, -t))
-            h = h[:running]
-            if t:
-                h, _ = step(p, h, flat[starts[:running] + t - 1])
-            states.append(h)
-            tokens.append(flat[starts[:running] + t])
-            rows.append(np.arange(running))
-        states, tokens, rows = np.concatenate(states), np.concatenate(tokens), np.concatenate(rows)
-        for cut in range(0, len(tokens), 32_768):
-            part = slice(cut, cut + 32_768)
-            found = log_probabilities(p, states[part], tokens[part], per_class)
-            totals += np.bincount(rows[part], found.astype(np.float64), len(texts))
+    states, tokens, rows, held = [], [], [], 0
+    last = int(lengths[0]) - 1
+    for t in range(last + 1):
+        running = int(np.searchsorted(-lengths, -t))
+        h = h[:running]
+        if t:
+            h, _ = step(p, h, flat[starts[:running] + t - 1])
+        states.append(h)
+        tokens.append(flat[starts[:running] + t])
+        rows.append(np.arange(running))
+        held += running
+        if held >= SCORED or t == last:
+            found = log_probabilities(p, np.concatenate(states), np.concatenate(tokens), per_class)
+            totals += np.bincount(np.concatenate(rows), found.astype(np.float64), len(texts))
+            states, tokens, rows, held = [], [], [], 0
     scores = np.zeros(len(texts))
     scores[order] = totals / math.log(10)
     return scores
@@ -443,9 +506,10 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
             for value in batch.column(2):
                 words = words_of(value.as_py())
                 own = ids_of(words, ids)
-                rare = [w for w in words if w not in ids]
-                held = [counts[w] for w in rare if w in counts]
-                rest = Counter(w for w in rare if w not in counts)
+                rare = list(compress(words, own[:-1] == 0))
+                looked_up = list(map(counts.get, rare))
+                held = [n for n in looked_up if n is not None]
+                rest = Counter(w for w, n in zip(rare, looked_up, strict=True) if n is None)
                 gain = float(np.log10(np.array(held, dtype=np.float64) + 1).sum())
                 base = float(gains[own].sum()) + gain - space * len(own)
                 texts.append(own)
