@@ -126,3 +126,23 @@ def test_near_copies_meet_the_earliest_one_first(spark):
     gone = line_join.later_of_matches(pairs, line_join.whole_sets(docs, "doc_id", "text", sets, pairs))
     assert gone.count() == 199
     assert line_join.pairs_with_open(sets, gone).count() == 0
+
+
+def test_every_gap_is_a_space(spark):
+    """Within a line and, for the counts, between lines; other white space belongs to words."""
+    text = "A\tb\x0bc\x0cd\r\ne\u00a0f\u2003g  \n \t\r\n"
+    docs = spark.createDataFrame([(1, text), (2, None), (3, " \n\t")], "doc_id long, text string")
+    found = [(r.id, r.line_no, r.line) for r in line_join.raw_lines(docs, "doc_id", "text").collect()]
+    assert found == [(1, 0, "a b c d "), (1, 1, "e\u00a0f\u2003g  ")]
+    steps = spark.range(1).select(line_join.rarity_steps(docs, "text").alias("steps")).first().steps
+    assert sum(s >> 56 != -128 for s in steps) == 5
+
+
+def test_first_round_shuffles_no_column_twice(spark, capsys):
+    """What the window over the holders of a word sorts: no struct beside the columns it is made of."""
+    docs = spark.createDataFrame([(i, f"a b c d e{i}") for i in range(9)], "doc_id long, text string")
+    line_join.pairs_with_earliest(line_join.line_sets(docs, "doc_id", "text")).explain("formatted")
+    plan = capsys.readouterr().out
+    window = [line for part in plan.split("\n\n") if ") Window" in part for line in part.splitlines() if line.startswith("Input")]
+    assert window and not any("_w" in line or "struct" in line for line in window)
+    assert not any("named_struct" in part for part in plan.split("\n\n") if ") Generate" in part)

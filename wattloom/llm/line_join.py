@@ -44,10 +44,15 @@ MAPS = 2
 WIDE = 4
 
 
+def one_gap(text: Column, gaps: str) -> Column:
+    """Spaces for the gaps: splitting at a single character needs no pattern. Plain searches of bytes,
+    as most gaps are in few texts; ``translate`` looks up every character."""
+    return reduce(lambda found, gap: F.replace(found, F.lit(gap), F.lit(" ")), gaps, text)
+
+
 def raw_lines(docs: DataFrame, id: str, text: str) -> DataFrame:
     """Rows (id, text_hash, line_no, line) of lines with a word, in lower case, gaps as spaces."""
-    # One kind of gap within a line: splitting at a single character needs no pattern.
-    spaced = F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[\x09\x0B-\x0D]", " ")
+    spaced = one_gap(F.lower(F.coalesce(F.col(text), F.lit(""))), "\t\x0b\x0c\r")
     rows = docs.select(
         F.col(id).alias("id"),
         F.xxhash64(F.col(text)).alias("text_hash"),
@@ -55,8 +60,8 @@ def raw_lines(docs: DataFrame, id: str, text: str) -> DataFrame:
     )
     # The outer form, which adds no filter that would cut every text a second time.
     lines = rows.select("id", "text_hash", F.posexplode_outer("lines").alias("line_no", "line"))
-    # rlike, so that the filter does not cut the words a second time.
-    return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    # Gaps are spaces by now, and the filter does not cut the words a second time.
+    return lines.where(F.ltrim("line") != "")
 
 
 def word_hashes(line: Column) -> Column:
@@ -71,8 +76,8 @@ def bucket(hash: Column) -> Column:
 def rarity_steps(docs: DataFrame, text: str) -> Column:
     """An array with the rarity step (-128 .. 127) of each bucket, in the upper 8 bits, as a scalar
     subquery."""
-    # Cut at a single character, which needs no pattern; the outer form, so that they are cut once.
-    spaced = F.translate(F.lower(F.col(text)), "\t\n\x0b\x0c\r", "     ")
+    # The outer form, so that they are cut once.
+    spaced = one_gap(F.lower(F.col(text)), "\t\n\x0b\x0c\r")
     hashes = F.transform(F.array_remove(F.split(spaced, " "), ""), lambda w: bucket(F.xxhash64(w)))
     counted = docs.select(F.explode_outer(hashes).alias("bucket"))
     counts = saved(counted.groupBy("bucket").agg(F.count("*").alias("words")), "word-buckets")
@@ -174,10 +179,13 @@ def pairs_with_earliest(sets: DataFrame) -> DataFrame:
     # Earlier places have lesser numbers, but for texts of one id. A wrong guess costs a pair.
     order = F.shiftleft("rank", 32).bitwiseOR(F.shiftleft(line_no, 16)).bitwiseOR(F.col("set").bitwiseAND(65535))
     keys = sets.select("set", "n", *BITS, order.alias("order"), F.explode("prefix").alias("token"))
-    # One shuffle by word, and one pair per set and word at most.
-    own = F.struct("set", "n", *BITS)
-    earliest = F.first(own).over(Window.partitionBy("token").orderBy("order", "set"))
-    both = keys.select(earliest.alias("x"), own.alias("y"))
+    # One shuffle by word, and one pair per set and word at most. Column by column: a struct of them
+    # would be shuffled beside them.
+    own = ("set", "n", *BITS)
+    holders = Window.partitionBy("token").orderBy("order", "set")
+    both = keys.select(
+        *[F.first(c).over(holders).alias(f"first_{c}") for c in own], *own,
+    ).select(F.struct(*[F.col(f"first_{c}").alias(c) for c in own]).alias("x"), F.struct(*own).alias("y"))
     fits = (F.col("x.set") != F.col("y.set")) & alike(F.col("x.n"), F.col("y.n"))
     return both.where(fits).select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct()
 
