@@ -275,3 +275,106 @@ def test_output_slopes_follow_the_loss():
             at = int(token[i]) % shape.per_class
             assert slopes["word_out", c][4, at] == pytest.approx(numeric(p.word_out, (c, 4, at)), rel=1e-3, abs=1e-5)
             assert slopes["word_bias", c][at] == pytest.approx(numeric(p.word_bias, (c, at)), rel=1e-3, abs=1e-5)
+
+
+def grouped_model(monkeypatch, words=90, stretch=0.3):
+    """Classes in groups, as for many words."""
+    monkeypatch.setattr(gru_lm, "GROUPED", 20)
+    shape = gru_lm.shaped([f"w{i}".encode() for i in range(words - 1)] + [b""], 7)
+    assert shape.groups > 1 and shape.groups < shape.classes < words
+    p, draw = gru_lm.initial(shape, [words - i for i in range(words)]), np.random.default_rng(9)
+    return shape, gru_lm.Parameters(*[q.astype(np.float64) + draw.normal(0, stretch, q.shape) * (q > -50) for q in p])
+
+
+def grouped_log_probability(p, per_class, h, token):
+    """Group, class within the group, word within the class, one after the other."""
+    own, place = divmod(int(token), per_class)
+    wide = -(-len(p.class_bias) // len(p.group_bias))
+    group, at = divmod(own, wide)
+    some, total = slice(group * wide, (group + 1) * wide), 0.0
+    for out, bias, i in (
+        (p.group_out, p.group_bias, group),
+        (p.class_out[:, some], p.class_bias[some], at),
+        (p.word_out[own], p.word_bias[own], place),
+    ):
+        z = h @ out + bias
+        total += z[i] - z.max() - np.log(np.exp(z - z.max()).sum())
+    return total
+
+
+@pytest.mark.parametrize("few", [1, 1000])
+def test_grouped_classes_one_by_one_and_side_by_side(monkeypatch, few):
+    """Probabilities and all slopes, for classes taken together and for each alone."""
+    monkeypatch.setattr(gru_lm, "FEW", few)
+    monkeypatch.setattr(gru_lm, "ROWS", 16)
+    shape, p = grouped_model(monkeypatch)
+    draw = np.random.default_rng(8)
+    h, token = draw.uniform(-1, 1, (200, gru_lm.HIDDEN)), draw.integers(0, 91, 200).astype(np.int32)
+    token[:60] = 3
+    plain = [grouped_log_probability(p, shape.per_class, row, t) for row, t in zip(h, token, strict=True)]
+    assert gru_lm.log_probabilities(p, h, token, shape.per_class) == pytest.approx(plain, rel=1e-6)
+    slopes = {n: np.zeros(q.shape) for n, q in p._asdict().items()}
+
+    class Noted(gru_lm.Trainer):
+        def change(self, name, slope, at=slice(None)):
+            slopes[name][at] += slope
+
+    back = Noted(p, shape.per_class).output_slopes(h, token, 0.5)
+    loss = lambda: -0.5 * gru_lm.log_probabilities(p, h, token, shape.per_class).sum()
+
+    def numeric(array, at):
+        found, kept = [], array[at]
+        for d in (1e-6, -1e-6):
+            array[at] = kept + d
+            found.append(loss())
+        array[at] = kept
+        return (found[0] - found[1]) / 2e-6
+
+    for name in ("group_out", "group_bias", "class_out", "class_bias", "word_out", "word_bias"):
+        array = getattr(p, name)
+        for flat in draw.integers(0, array.size, 12):
+            at = np.unravel_index(flat, array.shape)
+            if array[at] > -50:
+                assert slopes[name][at] == pytest.approx(numeric(array, at), rel=1e-3, abs=1e-5)
+    for at in [(0, 3), (70, 5), (199, 15)]:
+        assert back[at] == pytest.approx(numeric(h, at), rel=1e-3, abs=1e-5)
+
+
+def test_grouped_probabilities_start_at_the_counts(monkeypatch):
+    shape, _ = grouped_model(monkeypatch)
+    counts = list(range(190, 100, -1))
+    p = gru_lm.initial(shape, counts)
+    every = np.arange(91)
+    found = gru_lm.log_probabilities(p, np.zeros((91, gru_lm.HIDDEN), np.float32), every, shape.per_class)
+    mass = np.array([7, *(c + 1 for c in counts)])
+    assert np.exp(found.astype(float)) == pytest.approx(mass / mass.sum(), rel=1e-3)
+
+
+def test_a_round_holds_its_parameters_once(spark):
+    """The driver takes the new parameters in parts, as single numbers: not all rows at a time."""
+    import tracemalloc
+
+    shape = gru_lm.Shape([b"a", b"b", b"", *[f"w{i}".encode() for i in range(30_000)]], 7)
+    p = gru_lm.initial(shape, [1] * len(shape.words))
+    docs = spark.createDataFrame([(i, "a b") for i in range(50)], "doc_id long, text string")
+    tracemalloc.start()
+    try:
+        found = gru_lm.train_round(docs, "text", shape, p, 1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [q.shape for q in found] == [q.shape for q in p]
+    assert not np.array_equal(found.inputs, p.inputs) and np.array_equal(found.inputs[9:], p.inputs[9:])
+    assert peak < 3 * sum(q.nbytes for q in p)
+
+
+def test_words_are_cut_as_bytes_are():
+    import pyarrow as pa
+
+    texts = ["", " ", "a", "\t\n\x0b\x0c\r", None, "x\x00y  Z", "  a \r\n b  ", "Ä B c \x1cd\x1f e\x85", "a"]
+    vocabulary = gru_lm.Vocabulary([b"a", b"", b"b"])
+    # Also as a part of a longer column.
+    own, rare = vocabulary.ids(pa.array(["q q", *texts]).slice(1))
+    at = {b"a": 1, b"": 2, b"b": 3}
+    assert [x.tolist() for x in own] == [[at.get(w, 0) for w in tokens_of(text)] for text in texts]
+    assert rare == [[w for w in tokens_of(text) if w not in at] for text in texts]
