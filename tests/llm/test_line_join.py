@@ -146,3 +146,39 @@ def test_first_round_shuffles_no_column_twice(spark, capsys):
     window = [line for part in plan.split("\n\n") if ") Window" in part for line in part.splitlines() if line.startswith("Input")]
     assert window and not any("_w" in line or "struct" in line for line in window)
     assert not any("named_struct" in part for part in plan.split("\n\n") if ") Generate" in part)
+
+
+def test_counts_run_without_lambdas(spark, capsys):
+    """The words of all texts are rows when they are counted: a lambda over an array is not compiled."""
+    seen = []
+    docs = spark.createDataFrame([(1, "a b\nc"), (2, None)], "doc_id long, text string")
+    kept = line_join.saved
+
+    def noted(df, name):
+        seen.append((name, df))
+        return kept(df, name)
+
+    line_join.saved = noted
+    try:
+        line_join.rarity_steps(docs, "text")
+    finally:
+        line_join.saved = kept
+    counts = dict(seen)["word-buckets"]
+    counts.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "transform(" not in plan and "lambda" not in plan
+    assert counts.count() == 3
+
+
+def test_first_round_leaves_out_words_of_few_texts(spark, monkeypatch):
+    """Same kept lines with all words, some, and none in the first round; fewer keys with a bound."""
+    rows = grouped_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    pairs, kept = {}, {}
+    for bound in (0, 20, 10**6):
+        monkeypatch.setattr(line_join, "SPARED", bound)
+        sets = line_join.line_sets(docs, "doc_id", "text")
+        pairs[bound] = {tuple(r) for r in line_join.pairs_with_earliest(sets).collect()}
+        kept[bound] = {(r.id, r.text_hash): r.lines for r in line_join.kept_lines(docs).collect()}
+    assert kept[0] == kept[20] == kept[10**6]
+    assert pairs[0] > pairs[20] > pairs[10**6] == set()

@@ -11,7 +11,7 @@ as whole sets.
 A line goes as soon as one earlier line matches, so not all matches of a group are needed. The first
 round pairs each set with the earliest holder of each word of its prefix only, one pair per set and
 word, however large a group is: the rarest words of a near copy are often its own changes, so they
-alone would not find it. The second pairs the sets that are left with all earlier ones, and
+alone would not find it. Words in few texts are left out, as no large group shares them. The second pairs the sets that are left with all earlier ones, and
 compares a set with the one most like it by the bits before it turns to the others.
 
 Rarity comes from counts of all words of all texts in a fixed number of hash buckets, as a step of its
@@ -38,6 +38,9 @@ from wattloom.llm.common import saved, small, whole_row
 #: Two lines match at NUMERATOR / DENOMINATOR or more.
 NUMERATOR, DENOMINATOR = 4, 5
 BUCKET_BITS = 20
+#: Words that occur so often at most are left to the second round, which then meets so many sets at
+#: most for each of them.
+SPARED = 128
 #: Maps of 64 bits each that the index holds.
 MAPS = 2
 #: Maps of 64 bits each, by which candidates are compared once more before their whole sets are.
@@ -73,15 +76,19 @@ def bucket(hash: Column) -> Column:
     return F.shiftrightunsigned(hash, 64 - BUCKET_BITS).cast("int")
 
 
+def rarity_step(count: Column) -> Column:
+    return F.least(F.lit(255), F.floor(8 * F.log2(count + 1))) - 128
+
+
 def rarity_steps(docs: DataFrame, text: str) -> Column:
     """An array with the rarity step (-128 .. 127) of each bucket, in the upper 8 bits, as a scalar
     subquery."""
-    # The outer form, so that they are cut once.
+    # The outer form, so that they are cut once; rows of words, as lambdas are not compiled.
     spaced = one_gap(F.lower(F.col(text)), "\t\n\x0b\x0c\r")
-    hashes = F.transform(F.array_remove(F.split(spaced, " "), ""), lambda w: bucket(F.xxhash64(w)))
-    counted = docs.select(F.explode_outer(hashes).alias("bucket"))
+    words = docs.select(F.explode_outer(F.split(spaced, " ")).alias("word")).where(F.col("word") != "")
+    counted = words.select(bucket(F.xxhash64("word")).alias("bucket"))
     counts = saved(counted.groupBy("bucket").agg(F.count("*").alias("words")), "word-buckets")
-    step = F.least(F.lit(255), F.floor(8 * F.log2(F.coalesce("words", F.lit(0)) + 1))) - 128
+    step = rarity_step(F.coalesce("words", F.lit(0)))
     every = docs.sparkSession.range(1 << BUCKET_BITS).select(F.col("id").cast("int").alias("bucket"))
     steps = every.join(counts, "bucket", "left").select(
         "bucket", F.shiftleft(step.cast("long"), 56).alias("step")
@@ -174,11 +181,15 @@ def line_sets(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def pairs_with_earliest(sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets with the earliest set that holds one of the same words in its prefix."""
+    """Pairs (a, b) of sets with the earliest set that holds one of the same words in its prefix, of
+    words that more than SPARED sets may hold."""
     line_no = F.least(F.col("first.line_no"), F.lit(65535)).cast("long")
     # Earlier places have lesser numbers, but for texts of one id. A wrong guess costs a pair.
     order = F.shiftleft("rank", 32).bitwiseOR(F.shiftleft(line_no, 16)).bitwiseOR(F.col("set").bitwiseAND(65535))
     keys = sets.select("set", "n", *BITS, order.alias("order"), F.explode("prefix").alias("token"))
+    # No set holds a word that its texts do not, so rarity bounds the holders.
+    step = rarity_step(F.lit(SPARED + 1)).cast("long")
+    keys = keys.where(F.col("token") >= F.shiftleft(step, 56))
     # One shuffle by word, and one pair per set and word at most. Column by column: a struct of them
     # would be shuffled beside them.
     own = ("set", "n", *BITS)
