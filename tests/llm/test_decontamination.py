@@ -100,6 +100,57 @@ def test_sql_finds_the_same(spark, tmp_path):
     assert sorted(map(tuple, found.collect())) == sorted(expected)
 
 
+def test_long_texts_with_many_hits(spark):
+    """Rows that hold a text for each hit, or an item for each of its places, take many GB here."""
+    words = ["common" if i % 15 == 7 else f"w{i}" for i in range(100_000)]
+    part = [w if i % 7 else "other" for i, w in enumerate(words[20_000:26_000])]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "few words")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "common"), (2, " ".join(part))], "item_id long, text string")
+    found = decontamination.contaminated(docs, items).select("doc_id", "item_id", "start", "n_equal", "n_window")
+    assert {tuple(r) for r in found.collect()} == {(1, 1, 7, 1, 1), (1, 2, 20_000, 12, 13)}
+
+
+def test_pieces_and_runs_lose_nothing(spark):
+    """Texts and items of several pieces, passages across their borders, runs of one word."""
+    draw = random.Random(9)
+    long = [f"n{draw.randrange(10**6)}" for _ in range(700)]
+    broken = [w if i % 13 not in (3, 9) else "other" for i, w in enumerate(long)]
+    wanted = [long, long[40:70], ["same"] * 45, ["one", *["same"] * 9, "two", *["same"] * 9], long[250:262]]
+    fill = [f"f{i}" for i in range(1000)]
+    rows = [
+        fill[:240] + long[30:75] + fill[300:480] + long[236:290] + fill[:30],
+        fill[:251] + broken[:530],
+        broken[200:],
+        ["same"] * 300,
+        fill[:250] + ["one", *["same"] * 40, "two", "same", "other", *["same"] * 30],
+        long[690:] + fill[:300] + long[:11],
+        ["any", *long[:12]],
+    ]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(wanted)], "item_id long, text string")
+    for options in ({}, {"window": 9}, {"block_seeds": 1000}):
+        expected = {
+            (i, item, *best)
+            for i, row in enumerate(rows)
+            for item, item_words in enumerate(wanted)
+            for best in [best_overlap(row, item_words, options.get("window", 13))]
+            if best
+        }
+        found = decontamination.contaminated(docs, items, **options)
+        found = found.select("doc_id", "item_id", "start", "n_equal", "n_window")
+        assert {tuple(r) for r in found.collect()} == expected and len(expected) > 10
+
+
+def test_long_windows_see_the_whole_item(spark):
+    """The hit lies in the first words; the window that counts, in the last ones."""
+    item = [f"w{i}" for i in range(120)]
+    text = [*item[:10], *["other"] * 60, *(w if i % 5 else "other" for i, w in enumerate(item[70:]))]
+    docs = spark.createDataFrame([(1, " ".join(text))], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = decontamination.contaminated(docs, items, window=20)
+    assert [(r.start, r.n_equal, r.n_window) for r in found.collect()] == [(0, 16, 20)]
+
+
 def tables(spark):
     passage = " ".join(f"item{i}" for i in range(20))
     replaced = " ".join(f"item{i}" if i not in (6, 13) else "else" for i in range(20))

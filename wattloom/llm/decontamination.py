@@ -7,8 +7,12 @@ as much as they are worth and need not be equal. The three masks below, over at
 every overlap of 13 words that has two words replaced wherever these lie. Shorter items have masks
 of their own, searched for each length so that they hit every overlap that counts.
 
-The benchmark is cut into blocks of bounded size, each of which is broadcast. A document's words
-are hashed next to its text: no text, word or position is shuffled, only verified overlaps are.
+Texts of both sides are cut into pieces of bounded size, which hold the words within reach of their
+positions too, so that no row of a step has a whole text. A hit is compared within its reach.
+
+The benchmark is cut into blocks of bounded size, which are broadcast one after another: hashes with
+places, and apart from them the pieces. A document's words are hashed next to its text: no text,
+word or position is shuffled, only verified overlaps are.
 """
 
 from __future__ import annotations
@@ -26,9 +30,12 @@ from wattloom.llm.common import saved, text_key, whole_row, word_array
 MASKS = ((0, 1, 2, 3, 4, 6), (0, 1, 2, 4, 7, 8), (0, 1, 3, 5, 6, 7))
 MAX_WEIGHT = 6
 MAX_MASKS = 3
-BLOCK_SEEDS = 1_500_000
+BLOCK_SEEDS = 1_000_000
 WINDOW = 13
 MIN_SHARE = 0.8
+# Positions of a piece, and of a run of hits that one of them stands for.
+PIECE = 512
+RUN = 32
 
 
 def hits(mask: tuple[int, ...], length: int, replaced: tuple[int, ...]) -> bool:
@@ -76,45 +83,87 @@ def seed_hash(mask: tuple[int, ...], words: Column, at: Column) -> Column:
     return F.xxhash64(F.lit(sum(1 << offset for offset in mask)), *counted)
 
 
-def seeds_of(words: DataFrame, uses: dict[tuple[int, ...], list[int]], window: int) -> DataFrame:
-    """Rows (id, mask, at, hash) of all positions of the masks of each item's length; ``mask`` is a
-    mask's place in ``uses``, ``before`` the hash one word earlier, by which a run of hits can be
-    told from its first."""
-    at = F.explode(F.sequence(F.lit(0), F.size("words") - 1))
-    placed = words.where(F.size("words") > 0).select("*", at.alias("at"))
+def reach_of(window: int, min_share: float, longest: int) -> tuple[int, int]:
+    """Words before a hit, and from its first word on, that are compared around it.
+
+    If a hit lies in each window that counts, it is enough to see the windows of RUN hits in a row.
+    Otherwise a hit anywhere stands for the whole item.
+    """
+    least_equal = math.ceil(window * min_share - 1e-9)
+    if window < WINDOW or (window == WINDOW and least_equal >= WINDOW - 2):
+        return window, window + RUN - 1
+    return max(window, longest), max(window, longest)
+
+
+def pieces_of(texts: DataFrame, reach: tuple[int, int]) -> DataFrame:
+    """Rows of PIECE positions in place of each text's ``words``: ``first`` is the first position,
+    ``near`` their words and those in reach, NULL outside of the text, ``n_words`` the text's size."""
+    left, right = reach
+
+    def nothing(n: int) -> Column:
+        return F.array_repeat(F.lit(None).cast("string"), n)
+
+    kept = [c for c in texts.columns if c != "words"]
+    # The words are used once here, so that they are not written twice.
+    padded = texts.select(*kept, F.concat(nothing(left), F.col("words"), nothing(right)).alias("padded"))
+    n_words = F.size("padded") - (left + right)
+    firsts = F.when(n_words > 0, F.sequence(F.lit(0), n_words - 1, F.lit(PIECE)))
+    cut = padded.select(*kept, "padded", n_words.alias("n_words"), F.explode(firsts).alias("first"))
+    near = F.slice("padded", F.col("first") + 1, PIECE + left + right)
+    return cut.select(*kept, "n_words", "first", near.alias("near"))
+
+
+def placed_in(pieces: DataFrame, reach: tuple[int, int]) -> DataFrame:
+    """A row for each position of each piece, counted from the piece's ``first``.
+
+    Generated code holds all that comes of a row it reads. The lambda ends it here, so that this is
+    what comes of a piece and not of a text; it looks at the piece, so that it stays behind the cut."""
+    last = F.array(F.size("near") - (sum(reach) + 1))
+    ended = pieces.select("*", F.get(F.transform(last, lambda n: n), F.lit(0)).alias("last"))
+    return ended.select(*pieces.columns, F.explode(F.sequence(F.lit(0), F.col("last"))).alias("place"))
+
+
+def seeds_of(
+    pieces: DataFrame, uses: dict[tuple[int, ...], list[int]], window: int, reach: tuple[int, int]
+) -> DataFrame:
+    """Rows (number, mask, item_at, hash, before) of all positions of the masks of each item's
+    length; ``mask`` is a mask's place in ``uses``, ``before`` the hash one word earlier, by which a
+    run of hits can be told from its first."""
+    at, here = F.col("first") + F.col("place"), F.col("place") + reach[0]
     masks = F.array(
         *[
             F.struct(
                 F.lit(place).alias("mask"),
-                seed_hash(mask, F.col("words"), F.col("at")).alias("hash"),
-                F.when(F.col("at") > 0, seed_hash(mask, F.col("words"), F.col("at") - 1)).alias(
-                    "before"
-                ),
+                seed_hash(mask, F.col("near"), here).alias("hash"),
+                F.when(at > 0, seed_hash(mask, F.col("near"), here - 1)).alias("before"),
                 (
-                    (F.col("at") + mask[-1] < F.size("words"))
-                    & F.least(F.lit(window), F.size("words")).isin(lengths)
+                    (at + mask[-1] < F.col("n_words"))
+                    & F.least(F.lit(window), F.col("n_words")).isin(lengths)
                 ).alias("fits"),
             )
             for place, (mask, lengths) in enumerate(uses.items())
         ]
     )
-    return placed.select("*", F.inline(masks)).where("fits").drop("fits")
+    seeds = placed_in(pieces, reach).select("number", at.alias("item_at"), F.inline(masks))
+    return seeds.where("fits").drop("fits")
 
 
-def best_window(document: Column, item: Column, window: int) -> Column:
-    """The most equal words in any ``window`` consecutive words of the item (or all of it)."""
-    length = F.least(F.lit(window), F.size(item))
+def best_window(document: Column, item: Column, window: int, size: int) -> Column:
+    """The most equal words in any ``window`` consecutive ones of ``size`` words side by side."""
     equal = F.zip_with(document, item, lambda a, b: F.coalesce(a == b, F.lit(False)).cast("int"))
-    starts = F.sequence(F.lit(1), F.size(item) - length + 1)
-    sums = F.transform(
-        starts, lambda s: F.aggregate(F.slice(equal, s, length), F.lit(0), lambda a, b: a + b)
-    )
-    return F.array_max(sums)
 
+    def most(equal: Column) -> Column:
+        def moved(state: Column, at: Column) -> Column:
+            left_behind = F.coalesce(F.get(equal, at - window), F.lit(0))
+            now = state["now"] + F.get(equal, at) - left_behind
+            return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
 
-def lying_beside(words: Column, start: Column, length: Column) -> Column:
-    """``length`` words of a document from ``start`` on, NULL for what lies outside of it."""
-    return F.transform(F.sequence(F.lit(0), length - 1), lambda k: F.get(words, start + k))
+        start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+        places = F.sequence(F.lit(0), F.lit(size - 1))
+        return F.aggregate(places, start, moved, lambda state: state["most"])
+
+    # A lambda of one element, so that the words are compared once.
+    return F.get(F.transform(F.array(equal), most), F.lit(0))
 
 
 def overlaps(
@@ -138,59 +187,73 @@ def overlaps(
     ``min_words`` are left out (none by default). A NULL or empty text overlaps with nothing;
     repeated items are separate items.
     """
-    spark = docs.sparkSession
     items = benchmark.select(
-        F.col(item_id).alias("item_id"), word_array(F.lower(F.col(item_text))).alias("words")
+        F.monotonically_increasing_id().alias("number"),
+        F.col(item_id).alias("item_id"),
+        word_array(F.lower(F.col(item_text))).alias("words"),
     )
-    # One row per item, in blocks of bounded seeds; the block number needs running sums of sizes.
+    # Written once: the numbers must stay, and the sum of sizes gives the number of blocks.
     items = saved(items.where(F.size("words") >= max(1, min_words)), "benchmark-items")
-    total, lengths = items.agg(
-        F.sum(F.size("words").cast("long")), F.collect_set(F.least(F.lit(window), F.size("words")))
+    total, longest, lengths = items.agg(
+        F.sum(F.size("words").cast("long")),
+        F.max(F.size("words")),
+        F.collect_set(F.least(F.lit(window), F.size("words"))),
     ).first()
     uses = masks_in_use(lengths or [window], min_share)
     masks = list(uses)
     blocks = max(1, -(-(total or 0) * len(masks) // block_seeds))
+    left, right = reach = reach_of(window, min_share, longest or 1)
     names = [f"_keep{i}" for i in range(len(keep))]
     rows = docs.select(
         *[c.alias(n) for c, n in zip(keep, names, strict=True)],
         word_array(F.lower(F.col(text))).alias("words"),
     )
-    placed = rows.select("*", F.posexplode("words").alias("at", "word")).drop("word")
-    hashes = F.array(*[seed_hash(mask, F.col("words"), F.col("at")) for mask in masks])
-    hashed = placed.select("*", F.explode(hashes).alias("hash"))
+    hashes = F.array(*[seed_hash(mask, F.col("near"), F.col("place") + left) for mask in masks])
+    hashed = placed_in(pieces_of(rows, reach), reach).select("*", F.explode(hashes).alias("key"))
 
     def found_in(block: int) -> DataFrame:
-        part = items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)) == block)
-        named = part.withColumnRenamed("words", "item").withColumn("words", F.col("item"))
-        seeds = seeds_of(named, uses, window)
-        seeds = seeds.select("item_id", "item", "mask", F.col("at").alias("item_at"), "hash", "before")
-        found = hashed.join(F.broadcast(seeds), "hash")
-        previous = reduce(
-            lambda other, m: F.when(
-                (F.col("mask") == m) & (F.col("at") > 0),
-                seed_hash(masks[m], F.col("words"), F.col("at") - 1),
-            ).otherwise(other),
-            range(len(masks)),
-            F.lit(None).cast("long"),
+        pieces = pieces_of(items, reach)
+        pieces = pieces.where(F.pmod(F.xxhash64("number", "first"), F.lit(blocks)) == block)
+        seeds = seeds_of(pieces, uses, window, reach)
+        # First the hits alone, with the words in reach of them, and only then their places in items.
+        hashes_of_block = seeds.select(F.col("hash").alias("key")).distinct()
+        at, beside = F.col("first") + F.col("place"), F.slice("near", F.col("place") + 1, left + right)
+        hits = hashed.join(F.broadcast(hashes_of_block), "key", "left_semi")
+        hits = hits.select(*names, "key", at.alias("at"), beside.alias("beside"))
+        previous = [seed_hash(mask, F.col("beside"), F.lit(left - 1)) for mask in masks]
+        hits = hits.select("*", F.when(F.col("at") > 0, F.array(*previous)).alias("previous"))
+        # The first hit of a run stands for RUN of it, and so does each in its turn. The lambda keeps
+        # the join out of generated code, which would hold all places of a hit at once.
+        of_mask = F.array(F.get("previous", F.col("mask")))
+        repeated = F.coalesce(F.exists(of_mask, lambda hash: hash == F.col("before")), F.lit(False))
+        stands = ~repeated | (F.col("item_at") % RUN == 0)
+        found = hits.join(F.broadcast(seeds), (F.col("key") == F.col("hash")) & stands)
+        found = found.select(
+            *names,
+            "beside",
+            (F.col("at") - F.col("item_at")).alias("start"),
+            "number",
+            (F.col("item_at") - F.col("item_at") % PIECE).alias("first"),
+            (F.col("item_at") % PIECE).alias("place"),
         )
-        start = F.col("at") - F.col("item_at")
-        beside = lying_beside(F.col("words"), start, F.size("item"))
-        # The first hit of a run stands for it. This and the least number of equal words are no
-        # filters here: pushed into the join they would end its generated code.
-        repeated = F.coalesce(previous == F.col("before"), F.lit(False))
-        return found.select(
+        found = found.join(F.broadcast(pieces), ["number", "first"])
+        item = F.slice("near", F.col("place") + 1, left + right)
+        found = found.select(
             *names,
             "item_id",
-            start.alias("start"),
-            F.when(~repeated, best_window(beside, F.col("item"), window)).alias("n_equal"),
-            F.least(F.lit(window), F.size("item")).alias("n_window"),
+            "start",
+            best_window(F.col("beside"), item, window, left + right).alias("n_equal"),
+            F.least(F.lit(window), F.col("n_words")).alias("n_window"),
         )
+        return found.where(F.col("n_equal") >= F.col("n_window") * min_share)
 
-    best = reduce(DataFrame.unionByName, [found_in(b) for b in range(int(blocks))])
+    found = [found_in(b) for b in range(int(blocks))]
+    # One block at a time: in one plan the broadcasts of all would be held together.
+    best = reduce(DataFrame.unionByName, [saved(f, "overlaps") for f in found] if blocks > 1 else found)
     best = best.groupBy(*names, "item_id").agg(
         F.max(F.struct("n_equal", (-F.col("start")).alias("start"), "n_window")).alias("best")
     )
-    return best.where(F.col("best.n_equal") >= F.col("best.n_window") * min_share).select(
+    return best.select(
         *names,
         "item_id",
         (-F.col("best.start")).alias("start"),
